@@ -1,0 +1,37 @@
+"""Full refresh of the layers, with a status report."""
+
+from pyspark.sql import DataFrame
+
+from ebbtide.plans.lake import LAYERS, Lake
+
+STATUS_SCHEMA = "layer string, table_name string, status string, record_count long, message string"
+
+
+def run_layer(lake: Lake, layer: str) -> list[tuple]:
+    """Build the tables of one layer in dependency order, up to the first failure."""
+    report = []
+    for name in LAYERS[layer]:
+        try:
+            rows = lake.build(name).count()  # answered from the parquet footers
+        except Exception as error:  # reported; the caller decides whether to go on
+            return [*report, (layer, name, "failed", None, str(error).split("\n", 1)[0])]
+        report.append((layer, name, "completed", rows, None))
+    return report
+
+
+def run_all(lake: Lake) -> DataFrame:
+    """Build bronze, silver and gold; one status row per table.
+
+    After a failure nothing more is built, so gold never rests on stale silver;
+    the remaining tables are reported as skipped."""
+    report = []
+    for layer in LAYERS:
+        if report and report[-1][2] != "completed":
+            break
+        report += run_layer(lake, layer)
+    done = {row[1] for row in report}
+    report += [
+        (layer, name, "skipped", None, None)
+        for layer, names in LAYERS.items() for name in names if name not in done
+    ]
+    return lake.spark.createDataFrame(report, STATUS_SCHEMA)
