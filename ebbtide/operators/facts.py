@@ -17,8 +17,8 @@ from ebbtide.functions.ratios import (
 )
 from ebbtide.functions.rules import quality_score
 from ebbtide.operators.conform import conform
-from ebbtide.operators.keys import surrogate_key_fact
-from ebbtide.schemas import GOLD
+from ebbtide.operators.keys import number_rows, place_rows, surrogate_key_fact
+from ebbtide.schemas import GOLD, LONG
 from ebbtide.sources.landing import with_load_timestamp
 
 GRAIN = ["business_date", "country", "subsidiary"]
@@ -286,9 +286,9 @@ def with_stable_funding_ratio(funding: DataFrame) -> DataFrame:
 
 def _position_fact(name: str, key: str, aggregated: DataFrame, groups: Sequence[str],
                    value: str, dims: Dims, load_time: Column | None) -> DataFrame:
-    # The key stores the rows, so the totals below read the stored rows.
-    keyed = surrogate_key_fact(dim_lookup(aggregated, dims), key, [*GRAIN, *groups])
-    fact = with_concentration(keyed, value, GRAIN_KEYS)
+    # Stored once in key order; totals and key offsets both read the stored rows.
+    placed = place_rows(dim_lookup(aggregated, dims), [*GRAIN, *groups], key)
+    fact = number_rows(with_concentration(placed, value, GRAIN_KEYS), placed, key, LONG)
     if name == "fact_funding_stability":
         fact = with_stable_funding_ratio(fact)
     return conform(with_load_timestamp(fact, load_time), GOLD[name])

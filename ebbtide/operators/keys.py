@@ -13,35 +13,46 @@ _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
 
-def dense_key(df: DataFrame, key: str, order_by: Sequence[str],
-              key_type: T.DataType = T.LongType()) -> DataFrame:
-    """Add `key`: 1, 2, 3 … in the order of `order_by` (NULL first), which must
-    identify a row.
-
-    The rows are range-partitioned on the whole order, so no value can load one
-    task, sorted, and stored once with their place in the partition.  The
-    number of rows in earlier partitions (one value per partition) is then added
-    to that place."""
-    placed = materialise(
+def place_rows(df: DataFrame, order_by: Sequence[str], label: str) -> DataFrame:
+    """Store `df` in the order of `order_by` (NULL first), which must identify a row,
+    with each row's partition and place therein as `_place`.
+
+    Ranges are cut on the whole order, so no single value can load one task."""
+    return materialise(
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_place", F.monotonically_increasing_id()),
-        key,
-    ).withColumn("_part", F.shiftright("_place", _ROW_BITS))
+        label,
+    )
+
+
+def number_rows(df: DataFrame, placed: DataFrame, key: str, key_type: T.DataType) -> DataFrame:
+    """Turn `_place` into a number from 1 without gaps: the place in the partition plus
+    the rows of earlier partitions.  `df` holds the rows of `placed`, perhaps
+    with more columns."""
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("_part").agg(F.count("*").alias("_rows"))
+        placed.groupBy(F.shiftright("_place", _ROW_BITS).alias("_part"))
+        .agg(F.count("*").alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
     number = F.col("_offset") + F.col("_place").bitwiseAND(_ROW_MASK) + 1
     return (
+        df.withColumn("_part", F.shiftright("_place", _ROW_BITS))
         # one row per partition of the sort: bounded by the session's partition count
-        placed.join(F.broadcast(offsets), "_part")
+        .join(F.broadcast(offsets), "_part")
         .withColumn(key, number.cast(key_type))
         .drop("_part", "_place", "_offset")
     )
 
 
+def dense_key(df: DataFrame, key: str, order_by: Sequence[str],
+              key_type: T.DataType = T.LongType()) -> DataFrame:
+    """Add `key`: 1, 2, 3 … in the order of `order_by`, without a one-task sort."""
+    placed = place_rows(df, order_by, key)
+    return number_rows(placed, placed, key, key_type)
+
+
 def surrogate_key_dense(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """INT key of a dimension."""
     return dense_key(df, key, order_by, T.IntegerType())

@@ -14,9 +14,6 @@ from ebbtide.operators.keys import surrogate_key_fact
 from ebbtide.schemas import GOLD
 from ebbtide.sources.landing import with_load_timestamp
 
-_AVERAGE = F.avg("liquidity_coverage_ratio")
-_ROUNDED = F.round(_AVERAGE, 4).cast("decimal(10,4)")
-
 # The two-table ratio has the liquidity fact's columns that need no collateral.
 _TWO_WAY = T.StructType([
     f for f in GOLD["fact_intraday_liquidity"]
@@ -26,6 +23,14 @@ _TWO_WAY = T.StructType([
 ])
 
 
+def _average() -> Column:
+    return F.avg("liquidity_coverage_ratio")
+
+
+def _rounded_average() -> Column:
+    return F.round(_average(), 4).cast("decimal(10,4)").alias("avg_lcr")
+
+
 def _by_country(fact: DataFrame, countries: DataFrame, *groups: str) -> GroupedData:
     named = countries.select("country_key", "country_name", *groups)
     return fact.join(named, "country_key").groupBy("country_name", *groups, "lcr_status")
@@ -34,7 +39,7 @@ def _by_country(fact: DataFrame, countries: DataFrame, *groups: str) -> GroupedD
 def lcr_by_country_status(fact: DataFrame, countries: DataFrame) -> DataFrame:
     return (
         _by_country(fact, countries)
-        .agg(_AVERAGE.alias("avg_lcr"), F.count("*").alias("record_count"))
+        .agg(_average().alias("avg_lcr"), F.count("*").alias("record_count"))
         .orderBy("avg_lcr")
     )
 
@@ -42,7 +47,7 @@ def lcr_by_country_status(fact: DataFrame, countries: DataFrame) -> DataFrame:
 def lcr_days_measured(fact: DataFrame, countries: DataFrame) -> DataFrame:
     return (
         _by_country(fact, countries)
-        .agg(_ROUNDED.alias("avg_lcr"), F.count("*").alias("days_measured"))
+        .agg(_rounded_average(), F.count("*").alias("days_measured"))
         .orderBy("avg_lcr")
     )
 
@@ -50,7 +55,7 @@ def lcr_days_measured(fact: DataFrame, countries: DataFrame) -> DataFrame:
 def lcr_by_risk_category(fact: DataFrame, countries: DataFrame) -> DataFrame:
     return (
         _by_country(fact, countries, "liquidity_risk_category")
-        .agg(_ROUNDED.alias("avg_lcr"))
+        .agg(_rounded_average())
         .orderBy("avg_lcr")
     )
 
@@ -64,7 +69,7 @@ def latest_lcr_snapshot(fact: DataFrame, countries: DataFrame, dates: DataFrame)
         .join(countries, "country_key")
         .groupBy("country_name", "liquidity_risk_category")
         .agg(
-            _ROUNDED.alias("avg_lcr"),
+            _rounded_average(),
             F.sum("total_hqla_eligible_eur").cast("decimal(28,2)").alias("total_hqla_eur"),
             F.sum("total_cash_outflows_30d").cast("decimal(28,2)").alias("total_outflows_eur"),
             F.max("lcr_status").alias("lcr_status"),
@@ -89,7 +94,7 @@ def lcr_trend_by_country(fact: DataFrame, countries: DataFrame, dates: DataFrame
         fact.join(dates.select("date_key", "business_date"), "date_key")
         .join(countries, "country_key")
         .groupBy("business_date", "country_name")
-        .agg(_ROUNDED.alias("avg_lcr"))
+        .agg(_rounded_average())
         .orderBy("business_date", "country_name")
     )
 

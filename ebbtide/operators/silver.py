@@ -79,23 +79,23 @@ def dedup_latest(df: DataFrame, keys: Sequence[str],
 
 
 def dedup_balances(df: DataFrame, newest_first: Sequence[str] = NEWEST_FIRST) -> DataFrame:
-    return dedup_latest(trim_strings(df, ["account_id"]), ["account_id", "business_date"], newest_first)
+    return dedup_latest(trim_strings(df, ["account_id"]), ["business_date", "account_id"], newest_first)
 
 
 def dedup_hqla(df: DataFrame, newest_first: Sequence[str] = NEWEST_FIRST) -> DataFrame:
-    return dedup_latest(trim_strings(df, ["asset_id"]), ["asset_id", "business_date"], newest_first)
+    return dedup_latest(trim_strings(df, ["asset_id"]), ["business_date", "asset_id"], newest_first)
 
 
 def dedup_collateral(df: DataFrame, newest_first: Sequence[str] = NEWEST_FIRST) -> DataFrame:
     return dedup_latest(
-        trim_strings(df, ["collateral_id"]), ["collateral_id", "business_date"], newest_first
+        trim_strings(df, ["collateral_id"]), ["business_date", "collateral_id"], newest_first
     )
 
 
 def _clean(valid: DataFrame, dataset: str, load_time: Column | None,
            newest_first: Sequence[str]) -> DataFrame:
     clean = normalise_flags(trim_strings(valid), FLAGS[dataset])
-    latest = dedup_latest(clean, [KEYS[dataset], "business_date"], newest_first)
+    latest = dedup_latest(clean, ["business_date", KEYS[dataset]], newest_first)
     return conform(
         with_load_timestamp(latest, load_time, "silver_load_timestamp"), SILVER[dataset]
     )

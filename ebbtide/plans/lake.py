@@ -1,6 +1,7 @@
 """The fourteen tables of a run and the order they are built in."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -11,17 +12,18 @@ from ebbtide.operators.facts import (
     liquidity_fact,
 )
 from ebbtide.operators.silver import silver_balances, silver_collateral, silver_hqla
-from ebbtide.schemas import BRONZE
+from ebbtide.schemas import BRONZE, FACTS, GOLD
 from ebbtide.sources.storage import read_table, write_table
 
 DATASETS = list(BRONZE)
 
 
 class Lake:
-    """Tables below one folder, built from the raw feeds.
+    """Tables below one folder, built from the raw feeds on first use and read from
+    the folder afterwards.
 
-    `table` builds a table on first use and reads the stored one afterwards;
-    `frame` does not store bronze, whose cast costs less than a copy."""
+    Each layer reads the stored layer before it: text is parsed once, and silver's
+    filters reach the parquet scan."""
 
     def __init__(self, spark: SparkSession, root: str, feeds: Mapping[str, DataFrame],
                  bronze_time: Column | None = None, load_time: Column | None = None):
@@ -43,20 +45,34 @@ class Lake:
             return self.build(name)
         return read_table(self.spark, f"{self.root}/{name}", self._schemas[name])
 
-    def frame(self, name: str) -> DataFrame:
-        return self.table(name) if name in self._schemas else BUILDERS[name](self)
+    def build_all(self, names: Iterable[str]) -> list[DataFrame]:
+        """Build tables that do not need each other, at the same time: small ones
+        fill the executors the large ones leave idle."""
+        names = list(names)
+        with ThreadPoolExecutor(max(len(names), 1)) as pool:
+            return list(pool.map(self.build, names))
+
+    def tables(self, names: Iterable[str]) -> dict[str, DataFrame]:
+        self.build_all(n for n in names if n not in self._schemas)
+        return {n: self.table(n) for n in names}
 
     def bronze(self) -> dict[str, DataFrame]:
-        return {d: self.frame(f"bronze_{d}") for d in DATASETS}
+        return self._layer("bronze")
 
     def silver(self) -> dict[str, DataFrame]:
-        return {d: self.table(f"silver_{d}") for d in DATASETS}
+        self.bronze()
+        return self._layer("silver")
 
-    def gold(self) -> dict[str, DataFrame]:
-        return {name: self.table(name) for name in LAYERS["gold"] if name != "liquidity_metrics"}
+    def _layer(self, layer: str) -> dict[str, DataFrame]:
+        return dict(zip(DATASETS, self.tables([f"{layer}_{d}" for d in DATASETS]).values()))
 
     def dims(self) -> Dims:
-        return Dims(*[self.table(f"dim_{d}") for d in ("date", "country", "subsidiary")])
+        self.table("liquidity_metrics")
+        return Dims(*self.tables(["dim_date", "dim_country", "dim_subsidiary"]).values())
+
+    def gold(self) -> dict[str, DataFrame]:
+        self.dims()
+        return self.tables(GOLD)
 
 
 def _bronze(dataset: str) -> Callable[[Lake], DataFrame]:
@@ -67,9 +83,9 @@ def _bronze(dataset: str) -> Callable[[Lake], DataFrame]:
 # dimensions read this short table instead of scanning silver three more times.
 BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
     **{f"bronze_{d}": _bronze(d) for d in DATASETS},
-    "silver_balances": lambda k: silver_balances(k.frame("bronze_balances"), k.load_time),
-    "silver_hqla": lambda k: silver_hqla(k.frame("bronze_hqla"), k.load_time),
-    "silver_collateral": lambda k: silver_collateral(k.frame("bronze_collateral"), k.load_time),
+    "silver_balances": lambda k: silver_balances(k.table("bronze_balances"), k.load_time),
+    "silver_hqla": lambda k: silver_hqla(k.table("bronze_hqla"), k.load_time),
+    "silver_collateral": lambda k: silver_collateral(k.table("bronze_collateral"), k.load_time),
     "liquidity_metrics": lambda k: combined_metrics(**k.silver(), accounts_unique=True),
     "dim_date": lambda k: dim_date([k.table("liquidity_metrics")]),
     "dim_country": lambda k: dim_country([k.table("liquidity_metrics")]),
@@ -85,8 +101,13 @@ BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
         k.table("silver_collateral"), k.dims(), k.load_time),
 }
 
+# Per layer, groups of tables that can be built at the same time.
 LAYERS = {
-    "bronze": [n for n in BUILDERS if n.startswith("bronze_")],
-    "silver": [n for n in BUILDERS if n.startswith("silver_")],
-    "gold": [n for n in BUILDERS if not n.startswith(("bronze_", "silver_"))],
+    "bronze": [[f"bronze_{d}" for d in DATASETS]],
+    "silver": [[f"silver_{d}" for d in DATASETS]],
+    "gold": [
+        ["liquidity_metrics", "dim_account"],
+        ["dim_date", "dim_country", "dim_subsidiary"],
+        FACTS,
+    ],
 }

@@ -7,15 +7,23 @@ from ebbtide.plans.lake import LAYERS, Lake
 STATUS_SCHEMA = "layer string, table_name string, status string, record_count long, message string"
 
 
+def _status(lake: Lake, layer: str, names: list[str]) -> list[tuple]:
+    try:
+        built = lake.build_all(names)
+        # the counts are answered from the parquet footers
+        return [(layer, n, "completed", df.count(), None) for n, df in zip(names, built)]
+    except Exception as error:  # reported; nothing later is built
+        message = str(error).split("\n", 1)[0]
+        return [(layer, n, "failed", None, message) for n in names]
+
+
 def run_layer(lake: Lake, layer: str) -> list[tuple]:
     """Build the tables of one layer in dependency order, up to the first failure."""
     report = []
-    for name in LAYERS[layer]:
-        try:
-            rows = lake.build(name).count()  # answered from the parquet footers
-        except Exception as error:  # reported; the caller decides whether to go on
-            return [*report, (layer, name, "failed", None, str(error).split("\n", 1)[0])]
-        report.append((layer, name, "completed", rows, None))
+    for names in LAYERS[layer]:
+        report += _status(lake, layer, names)
+        if report[-1][2] == "failed":
+            break
     return report
 
 
@@ -26,12 +34,13 @@ def run_all(lake: Lake) -> DataFrame:
     the remaining tables are reported as skipped."""
     report = []
     for layer in LAYERS:
-        if report and report[-1][2] != "completed":
-            break
         report += run_layer(lake, layer)
-    done = {row[1] for row in report}
+        if report[-1][2] == "failed":
+            break
+    seen = {row[1] for row in report}
     report += [
         (layer, name, "skipped", None, None)
-        for layer, names in LAYERS.items() for name in names if name not in done
+        for layer, groups in LAYERS.items() for names in groups for name in names
+        if name not in seen
     ]
     return lake.spark.createDataFrame(report, STATUS_SCHEMA)

@@ -126,9 +126,11 @@ FROM j
 RAW_SQL = {"balances": BALANCES_SQL, "hqla": HQLA_SQL, "collateral": COLLATERAL_SQL}
 
 
-def raw_feed(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
-    """Rows of one raw dataset over the whole tables in `folder`."""
-    sql = RAW_SQL[dataset]
+def raw_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The three raw datasets over the whole tables in `folder`."""
     tables = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in SOURCE_TABLES}
     tables["geo"] = spark.sql(GEO_SQL)
-    return spark.sql(sql, **{name: df for name, df in tables.items() if f"{{{name}}}" in sql})
+    return {
+        dataset: spark.sql(sql, **{n: df for n, df in tables.items() if f"{{{n}}}" in sql})
+        for dataset, sql in RAW_SQL.items()
+    }

@@ -51,9 +51,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(schema.names)
 
 
-def save_table(df: DataFrame, name: str) -> DataFrame:
-    """Create or replace catalog table `name`; column comments go with it."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Create or replace catalog table `name`, at `path` if given; column comments go
+    with it."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
