@@ -18,6 +18,13 @@ from ebbtide.sources.storage import read_table, write_table
 DATASETS = list(BRONZE)
 
 
+def at_once(action: Callable, names: list[str]) -> list:
+    """Run `action` on tables that do not need each other, at the same time: small
+    ones fill the executors the large ones leave idle."""
+    with ThreadPoolExecutor(max(len(names), 1)) as pool:
+        return list(pool.map(action, names))
+
+
 class Lake:
     """Tables below one folder, built from the raw feeds on first use and read from
     the folder afterwards.
@@ -45,15 +52,8 @@ class Lake:
             return self.build(name)
         return read_table(self.spark, f"{self.root}/{name}", self._schemas[name])
 
-    def build_all(self, names: Iterable[str]) -> list[DataFrame]:
-        """Build tables that do not need each other, at the same time: small ones
-        fill the executors the large ones leave idle."""
-        names = list(names)
-        with ThreadPoolExecutor(max(len(names), 1)) as pool:
-            return list(pool.map(self.build, names))
-
     def tables(self, names: Iterable[str]) -> dict[str, DataFrame]:
-        self.build_all(n for n in names if n not in self._schemas)
+        at_once(self.build, [n for n in names if n not in self._schemas])
         return {n: self.table(n) for n in names}
 
     def bronze(self) -> dict[str, DataFrame]:

@@ -2,31 +2,33 @@
 
 from pyspark.sql import DataFrame
 
-from ebbtide.plans.lake import LAYERS, Lake
+from ebbtide.plans.lake import LAYERS, Lake, at_once
 
 STATUS_SCHEMA = "layer string, table_name string, status string, record_count long, message string"
 
 
-def _status(lake: Lake, layer: str, names: list[str]) -> list[tuple]:
+def _attempt(lake: Lake, layer: str, name: str) -> tuple:
     try:
-        built = lake.build_all(names)
-        # the counts are answered from the parquet footers
-        return [(layer, n, "completed", df.count(), None) for n, df in zip(names, built)]
+        rows = lake.build(name).count()  # answered from the parquet footers
     except Exception as error:  # reported; nothing later is built
-        message = str(error).split("\n", 1)[0]
-        return [(layer, n, "failed", None, message) for n in names]
+        return layer, name, "failed", None, str(error).split("\n", 1)[0]
+    return layer, name, "completed", rows, None
 
 
 def run_layer(lake: Lake, layer: str) -> list[tuple]:
     """Build the tables of one layer in dependency order, up to the first failure."""
     report = []
     for names in LAYERS[layer]:
-        report += _status(lake, layer, names)
-        if report[-1][2] == "failed":
+        report += at_once(lambda name: _attempt(lake, layer, name), names)
+        if _failed(report):
             break
     return report
 
 
+def _failed(report: list[tuple]) -> bool:
+    return any(row[2] == "failed" for row in report)
+
+
 def run_all(lake: Lake) -> DataFrame:
     """Build bronze, silver and gold; one status row per table.
 
@@ -35,7 +37,7 @@ def run_all(lake: Lake) -> DataFrame:
     report = []
     for layer in LAYERS:
         report += run_layer(lake, layer)
-        if report[-1][2] == "failed":
+        if _failed(report):
             break
     seen = {row[1] for row in report}
     report += [
