@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
     session = local_session(8, "6g", **{
         "spark.checkpoint.dir": str(folder / "checkpoints"),
         "spark.sql.warehouse.dir": str(folder / "warehouse"),
+        "spark.sql.maxMetadataStringLength": "2000",
     })
     yield session
     session.stop()

@@ -22,9 +22,10 @@ def test_dense_key_equals_global_row_number(spark):
     expected = df.withColumn("key", F.row_number().over(Window.orderBy("a", "b")).cast("long"))
     assert keyed.count() == 5000
     assert keyed.select("a", "b", "key").exceptAll(expected).isEmpty()
-    plan = keyed._jdf.queryExecution().executedPlan().toString()
-    # the one-task window sees a row per partition of the sort, after the count
-    assert plan.index("Exchange SinglePartition") < plan.index("HashAggregate(keys=[_part")
+    plan = keyed._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [plan[i + 1] for i, line in enumerate(plan) if "Exchange SinglePartition" in line]
+    # one task sees only a row per partition of the sort, once they are counted
+    assert len(below) == 1 and "HashAggregate" in below[0] and "count(1)" in below[0]
 
 
 def test_dense_key_of_nothing(spark):
