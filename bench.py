@@ -63,7 +63,7 @@ def main() -> None:
         )
     print(json.dumps({
         "metric": "total_query_time", "value": round(sum(seconds.values()), 3), "unit": "sec",
-        "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+        "queries": seconds, "sf": float(os.path.basename(folder.rstrip("/")).removeprefix("sf")),
     }))
 
 

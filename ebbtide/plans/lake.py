@@ -30,15 +30,18 @@ class Lake:
     the folder afterwards.
 
     Each layer reads the stored layer before it: text is parsed once, and silver's
-    filters reach the parquet scan."""
+    filters reach the parquet scan.  A value that does not fit its type fails the run,
+    or is NULL if `permissive`."""
 
     def __init__(self, spark: SparkSession, root: str, feeds: Mapping[str, DataFrame],
-                 bronze_time: Column | None = None, load_time: Column | None = None):
+                 bronze_time: Column | None = None, load_time: Column | None = None,
+                 permissive: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
         self.feeds = feeds
         self.bronze_time = bronze_time
         self.load_time = load_time
+        self.permissive = permissive
         self._schemas = {}
 
     def build(self, name: str) -> DataFrame:
@@ -76,7 +79,7 @@ class Lake:
 
 
 def _bronze(dataset: str) -> Callable[[Lake], DataFrame]:
-    return lambda lake: to_bronze(lake.feeds[dataset], dataset, lake.bronze_time)
+    return lambda lake: to_bronze(lake.feeds[dataset], dataset, lake.bronze_time, lake.permissive)
 
 
 # The metrics hold every date, country and subsidiary of silver, once each: the

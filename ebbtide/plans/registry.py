@@ -115,11 +115,14 @@ def write_table(k):
 
 @_query
 def overwrite_table(k):
+    """Replace the rows of a catalog table; its entry goes again, its files stay."""
     path = storage.fresh_folder(k.spark, "table")
     name = "collateral_" + path.rsplit("-", 1)[1]
     rows = k.bronze()["collateral"]
     storage.save_table(rows, name, path)
-    return storage.overwrite_table(silver.trim_strings(rows), name)
+    storage.overwrite_table(silver.trim_strings(rows), name)
+    k.spark.sql(f"DROP TABLE {name}")
+    return storage.read_table(k.spark, path, rows.schema)
 
 
 # ---- bronze ---------------------------------------------------------------------------

@@ -68,6 +68,14 @@ def test_run_stops_at_the_first_failure(spark, lake):
     assert {states[n] for g in LAYERS["silver"] + LAYERS["gold"] for n in g} == {"skipped"}
 
 
+def test_permissive_run_drops_the_bad_rows_in_silver(spark, lake):
+    bad = F.when(F.col("hqla_level") == "Level 1", "a lot").otherwise(F.col("haircut_rate"))
+    feeds = {**lake.feeds, "hqla": lake.feeds["hqla"].withColumn("haircut_rate", bad)}
+    run = Lake(spark, storage.fresh_folder(spark, "run"), feeds, permissive=True)
+    assert run.table("silver_hqla").filter("hqla_level = 'Level 1'").count() < (
+        lake.silver()["hqla"].filter("hqla_level = 'Level 1'").count())
+
+
 PLANNED = ["silver_hqla", "fact_intraday_liquidity", "fact_funding_stability", "dim_account",
            "dim_account_scd2", "latest_lcr_snapshot", "fk_orphans", "combined_metrics"]
 
