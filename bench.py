@@ -5,7 +5,7 @@ BENCH_CPUS      cores
 BENCH_RUNS      timed runs per query after one warm-up (default 1); the median counts
 BENCH_ALL       set to time every registered query
 
-The pipeline starts from CSV landing files written beforehand and rebuilds all
+The full refresh starts from CSV landing files written beforehand and rebuilds all
 tables.  The other queries read the stored layer below them, as every layer does."""
 
 import json
@@ -15,7 +15,7 @@ import time
 
 from ebbtide.plans import registry
 from ebbtide.plans.lake import DATASETS, Lake
-from ebbtide.plans.pipeline import run_all
+from ebbtide.plans.run import run_all
 from ebbtide.session import local_session
 from ebbtide.sources import landing, storage
 from ebbtide.sources.feed import raw_feeds
@@ -46,7 +46,7 @@ def main() -> None:
     base = storage.fresh_folder(spark, "bench-landing")
     paths = {d: landing.write_landing_history(feeds[d], base, d) for d in DATASETS}
 
-    def pipeline() -> None:
+    def full_refresh() -> None:
         scans = {d: landing.scan_landing(spark, path, d) for d, path in paths.items()}
         report = run_all(Lake(spark, storage.fresh_folder(spark, "bench"), scans))
         assert all(row.status == "completed" for row in report.collect()), report.collect()
@@ -55,7 +55,7 @@ def main() -> None:
         action()
         return round(statistics.median(timed(action) for _ in range(runs)), 3)
 
-    seconds = {"pipeline": measure(pipeline)}
+    seconds = {"full_refresh": measure(full_refresh)}
     queries = registry.queries()
     for name in queries if os.environ.get("BENCH_ALL") else HEADLINE:
         seconds[name] = measure(

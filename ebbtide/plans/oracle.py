@@ -429,6 +429,10 @@ _Q["write_landing_csv"] = (
 )
 _Q["write_table"] = _Q["silver_balances"]
 _Q["overwrite_table"] = f"SELECT {_with_text('collateral', True, False)} FROM bronze_collateral"
+_Q["describe_table"] = """
+SELECT column_name AS col_name, CASE column_type WHEN 'VARCHAR' THEN 'string'
+  WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS data_type
+FROM (DESCRIBE SELECT * FROM bronze_hqla)"""
 _Q["trim_strings"] = f"SELECT {_with_text('balances', True, False)} FROM bronze_balances"
 _Q["normalise_flags"] = f"SELECT {_with_text('balances', False)} FROM bronze_balances"
 _Q["normalise_flags_hqla"] = f"SELECT {_with_text('hqla', False)} FROM bronze_hqla"

@@ -11,7 +11,7 @@ from ebbtide.operators import (
     bronze, dimensions, facts, integrity, keys, profiling, reports, silver,
 )
 from ebbtide.operators.conform import conform
-from ebbtide.plans import pipeline
+from ebbtide.plans import run
 from ebbtide.plans.lake import DATASETS, Lake
 from ebbtide.schemas import BRONZE, GOLD, LANDING
 from ebbtide.sources import landing, storage
@@ -125,6 +125,17 @@ def overwrite_table(k):
     return storage.read_table(k.spark, path, rows.schema)
 
 
+@_query
+def describe_table(k):
+    """Columns of a whole table once it is in the catalog."""
+    path = storage.fresh_folder(k.spark, "table")
+    name = "hqla_" + path.rsplit("-", 1)[1]
+    storage.save_table(k.bronze()["hqla"], name, path)
+    columns = storage.describe_table(k.spark, name).filter("comment <> ''")
+    k.spark.sql(f"DROP TABLE {name}")
+    return columns.select("col_name", "data_type")
+
+
 # ---- bronze ---------------------------------------------------------------------------
 
 for _dataset in DATASETS:
@@ -364,15 +375,15 @@ _STATUS = ["layer", "table_name", "status", "record_count"]
 def run_layer(k):
     """Bronze into a folder of its own."""
     lake = Lake(k.spark, storage.fresh_folder(k.spark, "run"), k.feeds, k.bronze_time, k.load_time)
-    report = pipeline.run_layer(lake, "bronze")
-    return k.spark.createDataFrame(report, pipeline.STATUS_SCHEMA).select(_STATUS)
+    report = run.run_layer(lake, "bronze")
+    return k.spark.createDataFrame(report, run.STATUS_SCHEMA).select(_STATUS)
 
 
 @_query
 def run_all(k):
     """All layers into a folder of their own."""
     lake = Lake(k.spark, storage.fresh_folder(k.spark, "run"), k.feeds, k.bronze_time, k.load_time)
-    return pipeline.run_all(lake).select(_STATUS)
+    return run.run_all(lake).select(_STATUS)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

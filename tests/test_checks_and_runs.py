@@ -6,7 +6,7 @@ from conftest import SMALL
 
 from ebbtide.operators import integrity, profiling, reports
 from ebbtide.plans.lake import LAYERS, Lake
-from ebbtide.plans.pipeline import run_all
+from ebbtide.plans.run import run_all
 from ebbtide.sources import landing, storage
 
 

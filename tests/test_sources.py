@@ -1,5 +1,6 @@
 from decimal import Decimal
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +88,15 @@ def test_catalog_table(spark, lake):
     assert described["country_key"].comment == "Key of the country row"
 
 
+def test_a_cluster_needs_a_shared_folder():
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf={}, sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(session)
+    session.conf = {"spark.checkpoint.dir": "hdfs://bank/work/"}
+    assert storage.shared_folder(session) == "hdfs://bank/work"
+
+
 def test_declared_schemas():
     assert [len(s) for s in BRONZE.values()] == [18, 22, 23]
     assert [len(s) for s in GOLD.values()] == [16, 7, 4, 10, 24, 18, 22, 23]
