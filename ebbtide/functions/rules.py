@@ -37,7 +37,6 @@ HQLA_LEVELS = ["Level 1", "Level 2A", "Level 2B"]
 QUALITY_RATINGS = ["A", "B", "C", "D"]
 QUALITY_SCORES = {"A": 4, "B": 3, "C": 2, "D": 1}
 STABLE_MATURITIES = ["180-day", "1-year", ">1-year"]
-VOLATILITIES = ["High", "Low", "Medium"]
 LEVEL_1_HAIRCUT = "0"
 LEVEL_2A_HAIRCUT = "0.15"
 LEVEL_2B_HAIRCUTS = ("0.25", "0.50")

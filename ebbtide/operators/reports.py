@@ -7,12 +7,12 @@ from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.functions.rules import VOLATILITIES
 from ebbtide.operators.conform import conform
 from ebbtide.operators.facts import GRAIN, Dims, combined_metrics, dim_lookup, liquidity_ratios
 from ebbtide.operators.keys import surrogate_key_fact
 from ebbtide.schemas import GOLD
 from ebbtide.sources.landing import with_load_timestamp
+from ebbtide.sources.storage import materialise
 
 # The two-table ratio has the liquidity fact's columns that need no collateral.
 _TWO_WAY = T.StructType([
@@ -142,15 +142,17 @@ def collateral_by_type(collateral: DataFrame) -> DataFrame:
     return _amount_summary(collateral, "collateral_type", "net_realizable_value_eur")
 
 
-def volatility_pivot(balances: DataFrame, values: Sequence[str] = VOLATILITIES) -> DataFrame:
-    """Accounts per country, one column per volatility; naming the values saves a
-    pass over the table to find them."""
-    return (
-        balances.filter(F.col("country").isNotNull())
-        .groupBy("country").pivot("balance_volatility", list(values)).count()
-        .na.fill(0)
-        .orderBy("country")
-    )
+def volatility_pivot(balances: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
+    """Rows per country, one column per volatility that occurs, or per one of `values`.
+
+    Finding the values needs a job of its own, so the short counts are stored first
+    and the balances are read once."""
+    columns = ["country", "balance_volatility"]
+    counts = balances.dropna(subset=columns).groupBy(*columns).count()
+    if values is None:
+        counts = materialise(counts, "volatility")
+    wide = counts.groupBy("country").pivot("balance_volatility", values and list(values))
+    return wide.sum("count").na.fill(0).orderBy("country")
 
 
 def lcr_two_way(balances: DataFrame, hqla: DataFrame, dims: Dims,

@@ -110,7 +110,7 @@ def write_landing_csv(k):
 @_query
 def write_table(k):
     path = storage.fresh_folder(k.spark, "table")
-    return storage.write_table(k.silver()["balances"], path, ["business_date"])
+    return storage.write_table(k.table("silver_balances"), path, ["business_date"])
 
 
 @_query
@@ -118,7 +118,7 @@ def overwrite_table(k):
     """Replace the rows of a catalog table; its entry goes again, its files stay."""
     path = storage.fresh_folder(k.spark, "table")
     name = "collateral_" + path.rsplit("-", 1)[1]
-    rows = k.bronze()["collateral"]
+    rows = k.table("bronze_collateral")
     storage.save_table(rows, name, path)
     storage.overwrite_table(silver.trim_strings(rows), name)
     k.spark.sql(f"DROP TABLE {name}")
@@ -130,7 +130,7 @@ def describe_table(k):
     """Columns of a whole table once it is in the catalog."""
     path = storage.fresh_folder(k.spark, "table")
     name = "hqla_" + path.rsplit("-", 1)[1]
-    storage.save_table(k.bronze()["hqla"], name, path)
+    storage.save_table(k.table("bronze_hqla"), name, path)
     columns = storage.describe_table(k.spark, name).filter("comment <> ''")
     k.spark.sql(f"DROP TABLE {name}")
     return columns.select("col_name", "data_type")
@@ -149,9 +149,9 @@ _add("bronze_record_counts", lambda k: profiling.bronze_record_counts(k.bronze()
 # ---- silver ---------------------------------------------------------------------------
 
 _BALANCES, _HQLA, _COLLATERAL = (
-    lambda k: k.bronze()["balances"],
-    lambda k: k.bronze()["hqla"],
-    lambda k: k.bronze()["collateral"],
+    lambda k: k.table("bronze_balances"),
+    lambda k: k.table("bronze_hqla"),
+    lambda k: k.table("bronze_collateral"),
 )
 _add("silver_balances", lambda k: silver.silver_balances(_BALANCES(k), _load_time()))
 _add("silver_hqla", lambda k: silver.silver_hqla(_HQLA(k), _load_time()))
@@ -186,19 +186,19 @@ _add(
 _add("dim_date", lambda k: dimensions.dim_date(list(k.silver().values())))
 _add("dim_country", lambda k: dimensions.dim_country(list(k.silver().values())))
 _add("dim_subsidiary", lambda k: dimensions.dim_subsidiary(list(k.silver().values())))
-_add("dim_account", lambda k: dimensions.dim_account(k.silver()["balances"]))
-_add("dim_account_scd2", lambda k: dimensions.dim_account_scd2(k.silver()["balances"]))
+_add("dim_account", lambda k: dimensions.dim_account(k.table("silver_balances")))
+_add("dim_account_scd2", lambda k: dimensions.dim_account_scd2(k.table("silver_balances")))
 
 
 @_query
 def surrogate_key_dense(k):
     columns = ["country", "subsidiary", "account_type", "customer_segment"]
-    products = dimensions.distinct_values([k.silver()["balances"]], columns)
+    products = dimensions.distinct_values([k.table("silver_balances")], columns)
     return keys.surrogate_key_dense(products, "product_key", columns)
 
 
 def _date_keys(k: Lake) -> DataFrame:
-    days = dimensions.distinct_values([k.silver()["hqla"]], ["business_date"])
+    days = dimensions.distinct_values([k.table("silver_hqla")], ["business_date"])
     return days.select("business_date", date_key(F.col("business_date")).alias("date_key"))
 
 
@@ -217,11 +217,11 @@ def _ratio_inputs():
     return F.col("total_hqla_eligible_eur"), F.col("weighted_outflow_amount")
 
 
-_add("balance_metrics", lambda k: _typed(facts.balance_metrics(k.silver()["balances"]), _LIQUIDITY))
-_add("hqla_metrics", lambda k: _typed(facts.hqla_metrics(k.silver()["hqla"]), _LIQUIDITY))
+_add("balance_metrics", lambda k: _typed(facts.balance_metrics(k.table("silver_balances")), _LIQUIDITY))
+_add("hqla_metrics", lambda k: _typed(facts.hqla_metrics(k.table("silver_hqla")), _LIQUIDITY))
 _add(
     "collateral_metrics",
-    lambda k: _typed(facts.collateral_metrics(k.silver()["collateral"]), _LIQUIDITY),
+    lambda k: _typed(facts.collateral_metrics(k.table("silver_collateral")), _LIQUIDITY),
 )
 _add("combined_metrics", lambda k: _typed(facts.combined_metrics(**k.silver()), _LIQUIDITY))
 _add("lcr_ratio", lambda k: _typed(_metrics(k).select(
@@ -244,44 +244,44 @@ _add("surrogate_key_fact", lambda k: keys.surrogate_key_fact(
 ))
 
 _add("hqla_aggregated", lambda k: _typed(
-    facts.hqla_aggregated(k.silver()["hqla"]), "fact_hqla_position"))
+    facts.hqla_aggregated(k.table("silver_hqla")), "fact_hqla_position"))
 _add("hqla_concentration", lambda k: _typed(
-    facts.hqla_concentration(k.silver()["hqla"]), "fact_hqla_position"
+    facts.hqla_concentration(k.table("silver_hqla")), "fact_hqla_position"
 ).select(*facts.GRAIN, "hqla_level", "asset_type", "credit_rating", "concentration_percentage"))
 _add("fact_hqla_position", lambda k: facts.fact_hqla_position(
-    k.silver()["hqla"], k.dims(), _load_time()))
+    k.table("silver_hqla"), k.dims(), _load_time()))
 
 _FUNDING = ["maturity_bucket", "customer_segment", "account_type"]
 _add("funding_aggregated", lambda k: _typed(
-    facts.funding_aggregated(k.silver()["balances"]), "fact_funding_stability"))
+    facts.funding_aggregated(k.table("silver_balances")), "fact_funding_stability"))
 _add("inactive_accounts", lambda k: _typed(
-    k.silver()["balances"].groupBy(*facts.GRAIN).agg(*facts.inactive_sums()),
+    k.table("silver_balances").groupBy(*facts.GRAIN).agg(*facts.inactive_sums()),
     "fact_funding_stability"))
 _add("stable_funding_ratio", lambda k: _typed(
-    facts.with_stable_funding_ratio(facts.funding_aggregated(k.silver()["balances"]))
+    facts.with_stable_funding_ratio(facts.funding_aggregated(k.table("silver_balances")))
     .select(*facts.GRAIN, *_FUNDING, "stable_funding_ratio"),
     "fact_funding_stability"))
 _add("funding_concentration", lambda k: _typed(
-    facts.funding_concentration(k.silver()["balances"]), "fact_funding_stability"
+    facts.funding_concentration(k.table("silver_balances")), "fact_funding_stability"
 ).select(*facts.GRAIN, *_FUNDING, "concentration_percentage"))
 _add("fact_funding_stability", lambda k: facts.fact_funding_stability(
-    k.silver()["balances"], k.dims(), _load_time()))
+    k.table("silver_balances"), k.dims(), _load_time()))
 
 _PLEDGED = ["collateral_type", "quality_rating", "collateral_status"]
 _add("collateral_aggregated", lambda k: _typed(
-    facts.collateral_aggregated(k.silver()["collateral"]), "fact_collateral_risk"))
+    facts.collateral_aggregated(k.table("silver_collateral")), "fact_collateral_risk"))
 _add("overdue_reviews", lambda k: _typed(
-    k.silver()["collateral"].groupBy(*facts.GRAIN).agg(*facts.overdue_sums()),
+    k.table("silver_collateral").groupBy(*facts.GRAIN).agg(*facts.overdue_sums()),
     "fact_collateral_risk"))
 _add("quality_score", lambda k: _typed(
-    k.silver()["collateral"].groupBy(*facts.GRAIN)
+    k.table("silver_collateral").groupBy(*facts.GRAIN)
     .agg(F.avg(rules.quality_score(F.col("quality_rating"))).alias("quality_score")),
     "fact_collateral_risk"))
 _add("collateral_concentration", lambda k: _typed(
-    facts.collateral_concentration(k.silver()["collateral"]), "fact_collateral_risk"
+    facts.collateral_concentration(k.table("silver_collateral")), "fact_collateral_risk"
 ).select(*facts.GRAIN, *_PLEDGED, "concentration_percentage"))
 _add("fact_collateral_risk", lambda k: facts.fact_collateral_risk(
-    k.silver()["collateral"], k.dims(), _load_time()))
+    k.table("silver_collateral"), k.dims(), _load_time()))
 
 # ---- checks ---------------------------------------------------------------------------
 
@@ -320,7 +320,7 @@ _add("hqla_by_level", lambda k: reports.hqla_by_level(_HQLA(k)))
 _add("collateral_by_type", lambda k: reports.collateral_by_type(_COLLATERAL(k)))
 _add("volatility_pivot", lambda k: reports.volatility_pivot(_BALANCES(k)))
 _add("lcr_two_way", lambda k: reports.lcr_two_way(
-    k.silver()["balances"], k.silver()["hqla"], k.dims(), _load_time(), accounts_unique=True))
+    k.table("silver_balances"), k.table("silver_hqla"), k.dims(), _load_time(), accounts_unique=True))
 
 # ---- row rules ------------------------------------------------------------------------
 

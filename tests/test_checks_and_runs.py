@@ -42,6 +42,16 @@ def test_status_of_a_country_is_the_last_in_the_alphabet(lake):
     assert reports.latest_lcr_snapshot(mixed, dims.country, dims.date).first().lcr_status == "Compliant"
 
 
+def test_pivot_has_a_column_for_every_value(spark):
+    df = spark.createDataFrame(
+        [("A", "High"), ("A", "Odd"), ("A", "Odd"), ("B", "Low"), (None, "Low"), ("B", None)],
+        "country string, balance_volatility string")
+    out = reports.volatility_pivot(df)
+    assert out.columns == ["country", "High", "Low", "Odd"]
+    assert [tuple(r) for r in out.collect()] == [("A", 1, 0, 2), ("B", 0, 1, 0)]
+    assert reports.volatility_pivot(df, ["Low"]).columns == ["country", "Low"]
+
+
 def feeds_from_csv(spark, lake, base):
     return {
         d: landing.scan_landing(spark, landing.write_landing_history(df, base, d), d)
