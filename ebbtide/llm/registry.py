@@ -4,9 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import simhash
+from ebbtide.llm import simhash, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_output": token_output.op2_token_output,
     "op6_simhash": simhash.op6_simhash,
 }
 
