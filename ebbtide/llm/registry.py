@@ -4,13 +4,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import decontamination, mixing, simhash, token_output
+from ebbtide.llm import chat, decontamination, mixing, simhash, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": token_output.op2_token_output,
     "op5_mixing": mixing.op5_mixing,
     "op6_simhash": simhash.op6_simhash,
     "op7_decontamination": decontamination.op7_decontamination,
+    "op9_chat": chat.op9_chat,
 }
 
 ORACLE_SQL: dict[str, str] = {}
