@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import chat, decontamination, mixing, simhash, token_output
+from ebbtide.llm import chat, decontamination, mixing, simhash, token_output, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": token_output.op2_token_output,
@@ -12,6 +12,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": simhash.op6_simhash,
     "op7_decontamination": decontamination.op7_decontamination,
     "op9_chat": chat.op9_chat,
+    "op10_warc": warc.op10_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {}
