@@ -4,10 +4,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import chat, decontamination, fingerprints, mixing, simhash, token_output, warc
+from ebbtide.llm import chat, decontamination, fingerprints, mixing, secrets, simhash, token_output, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": token_output.op2_token_output,
+    "op3_secrets": secrets.op3_secrets,
     "op4_fingerprints": fingerprints.op4_fingerprints,
     "op5_mixing": mixing.op5_mixing,
     "op6_simhash": simhash.op6_simhash,
