@@ -4,9 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import chat, decontamination, fingerprints, mixing, secrets, simhash, token_output, warc
+from ebbtide.llm import chat, decontamination, fingerprints, mixing, secrets, simhash, token_output, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_token_output": token_output.op2_token_output,
     "op3_secrets": secrets.op3_secrets,
     "op4_fingerprints": fingerprints.op4_fingerprints,
