@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import chat, decontamination, fingerprints, mixing, secrets, simhash, token_output, toxicity, warc
+from ebbtide.llm import chat, decontamination, fingerprints, line_dedup, mixing, secrets, simhash, token_output, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": mixing.op5_mixing,
     "op6_simhash": simhash.op6_simhash,
     "op7_decontamination": decontamination.op7_decontamination,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_chat": chat.op9_chat,
     "op10_warc": warc.op10_warc,
 }
