@@ -5,7 +5,9 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +56,36 @@ def with_fields(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.Stru
     return T.StructType([*schema.fields, *(T.StructField(n, t) for n, t in fields)])
 
 
+BITMAP_BITS = 24
+
+
+def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
+    """Bitmap of 2^BITMAP_BITS bits (2 MB, whatever the input) that holds the 64-bit hashes in `column`.  The tasks' parts
+    are united as pieces of 32,768 bits before the driver gets them."""
+    place = F.shiftright(column, 20).bitwiseAND((1 << BITMAP_BITS) - 1)
+    pieces = (
+        hashes.select(F.floor(place / 32768).alias("piece"), (place % 32768).alias("place"))
+        .groupBy("piece").agg(F.bitmap_construct_agg("place").alias("bits"))
+    )
+    whole = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
+    for piece, bits in pieces.collect():
+        whole[piece * 4096 : (piece + 1) * 4096] = np.frombuffer(bits, np.uint8)
+    return whole
+
+
+def maybe_in(spark: SparkSession, held: np.ndarray, column: str) -> Column:
+    """False only for hashes that are not in the bitmap; some others share a bit."""
+    known_to_workers(spark)
+    shared = spark.sparkContext.broadcast(held)
+
+    @F.arrow_udf("boolean")
+    def test(hashes: pa.Array) -> pa.Array:
+        place = (hashes.to_numpy(zero_copy_only=False) >> 20) & ((1 << BITMAP_BITS) - 1)
+        return pa.array((shared.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1)
+
+    return test(F.col(column))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in `links` (a, b: long): the smallest node that can
     be reached.

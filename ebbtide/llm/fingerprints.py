@@ -57,11 +57,11 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
     return held[:n]
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and the text of each.  The hash of a word is that of the polynomial of its bytes, from
+def word_hashes(texts: list[bytes], apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and the text of each; `apart` marks the bytes between words, which the space must be one of.  The hash of a word is that of the polynomial of its bytes, from
     differences of one prefix sum over all texts."""
     joined = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
-    space = _SPACE[joined]
+    space = apart[joined]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], space)).view(np.int8)))
     starts, ends = edges[0::2], edges[1::2]
     sums = np.zeros(len(joined) + 1, np.uint64)

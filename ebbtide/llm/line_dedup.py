@@ -26,11 +26,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import components, known_to_workers, read_table, store
+from ebbtide.llm.common import bitmap, components, known_to_workers, maybe_in, read_table, store
 
 MOST_EDITS = 2
 LEAST_NEAR = 24
-BITMAP_BITS = 24
 _HALF = 1 << 63
 
 
@@ -155,43 +154,17 @@ def _record(keys: list, names: list, marks: list, owns: list) -> pa.RecordBatch:
     )
 
 
-def _bit(line: int | np.ndarray):
-    """The place of a line's hash in the bitmap."""
-    return (line >> 20) & ((1 << BITMAP_BITS) - 1)
-
-
-def _bitmap(lines: DataFrame) -> np.ndarray:
-    """Bitmap of 2^BITMAP_BITS bits with the hashes of `lines` (line); the tasks' parts are united as 32-kbit pieces, so that the
-    driver gets 2 MB whatever the input."""
-    bit = F.shiftright("line", 20).bitwiseAND((1 << BITMAP_BITS) - 1)
-    pieces = (
-        lines.select(F.floor(bit / 32768).alias("piece"), (bit % 32768).alias("place"))
-        .groupBy("piece").agg(F.bitmap_construct_agg("place").alias("bits"))
-    )
-    whole = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
-    for piece, bits in pieces.collect():
-        whole[piece * 4096 : (piece + 1) * 4096] = np.frombuffer(bits, np.uint8)
-    return whole
-
-
-def _texts(texts: DataFrame, bitmap: np.ndarray, least: int) -> DataFrame:
-    """(line, text) of the lines whose bit is set; others that share a bit may be among them."""
-    held = texts.sparkSession.sparkContext.broadcast(bitmap)  # 2 MB
+def _texts(texts: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
+    """(line, text) of the lines whose hash is in `wanted` (line)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = held.value
         for batch in batches:
-            found = {}
-            for t in batch.column(0).to_pylist():
-                for x in lines_of(t):
-                    if len(x) >= least:
-                        name = line_hash(x)
-                        place = _bit(name)
-                        if bits[place >> 3] >> (place & 7) & 1:
-                            found[name] = x
-            yield pa.record_batch([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], ["line", "text"])
+            found = {x for t in batch.column(0).to_pylist() for x in lines_of(t) if len(x) >= least}
+            yield pa.record_batch([pa.array([line_hash(x) for x in found], pa.int64()), pa.array(list(found), pa.string())], ["line", "text"])
 
-    return texts.mapInArrow(emit, "line long, text string").dropDuplicates(["line"])
+    lines = texts.mapInArrow(emit, "line long, text string")
+    near = lines.where(maybe_in(texts.sparkSession, bitmap(wanted, "line"), "line"))
+    return near.dropDuplicates(["line"]).join(wanted, "line", "left_semi")
 
 
 def links(docs: DataFrame, text: str = "text", edits: int = MOST_EDITS, least: int = LEAST_NEAR) -> DataFrame:
@@ -206,7 +179,7 @@ def links(docs: DataFrame, text: str = "text", edits: int = MOST_EDITS, least: i
     )).select(F.greatest("p.line", "i.line").alias("a"), F.least("p.line", "i.line").alias("b"))
     pairs = store(pairs.distinct(), "line-candidates")
     wanted = pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct()
-    found = store(_texts(texts, _bitmap(wanted), least).join(wanted, "line", "left_semi"), "line-texts")
+    found = store(_texts(texts, wanted, least), "line-texts")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

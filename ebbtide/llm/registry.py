@@ -4,12 +4,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import chat, decontamination, fingerprints, line_dedup, mixing, secrets, simhash, token_output, toxicity, warc
+import corpus_pipeline
+from ebbtide.llm import chat, decontamination, fingerprints, line_dedup, mixing, secret_scan, simhash, token_output, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_token_output": token_output.op2_token_output,
-    "op3_secrets": secrets.op3_secrets,
+    "op3_secrets": secret_scan.op3_secrets,
     "op4_fingerprints": fingerprints.op4_fingerprints,
     "op5_mixing": mixing.op5_mixing,
     "op6_simhash": simhash.op6_simhash,
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_chat": chat.op9_chat,
     "op10_warc": warc.op10_warc,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -18,18 +18,24 @@ Only distinct fingerprints take part, so exact copies cost nothing.
 """
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import components, read_table, store
+from ebbtide.llm.common import bitmap, components, known_to_workers, maybe_in, read_table, store
+from ebbtide.llm.fingerprints import mixed, word_hashes
 
 SHINGLE_WORDS = 3
 SEED = 42
+WORD_SEEDS = (1, 2)
+SIMILARITY = 0.8
+_NO_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _PARTS = [(0, 21), (21, 42), (42, 64)]
 # the bits of each byte value, highest first
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -96,13 +102,14 @@ def _meeting_variants() -> str:
 
 
 def _third_part(spark) -> DataFrame:
-    """(variant, role, keep, flip) for the part left out: how a variant goes on.  The first side may
-    flip two bits in all, the second one."""
+    """(variant, role, others, third_flip): how a variant goes on in the part left out, whose bits are
+    `others`.  The first side may flip two bits in all, the second one."""
     rows = []
     for t, third in enumerate(_PARTS):
         for side, role, most in ((0, 1, 2), (0, 2, 1), (1, 1, 1), (2, 2, 0)):
-            rows += [(3 * t + side, role, _signed(mask)) for mask in _flips(third, most)]
-    return spark.createDataFrame(rows, "variant tinyint, role tinyint, third_flip long")
+            others = _signed(sum(1 << b for b in range(*third)))
+            rows += [(3 * t + side, role, others, _signed(mask)) for mask in _flips(third, most)]
+    return spark.createDataFrame(rows, "variant tinyint, role tinyint, others long, third_flip long")
 
 
 def _shared(rows: DataFrame, key: str, first: str, second: str) -> DataFrame:
@@ -117,22 +124,30 @@ def _shared(rows: DataFrame, key: str, first: str, second: str) -> DataFrame:
     )
 
 
-def links(fps: DataFrame, column: str = "fp") -> DataFrame:
-    """(a, b): links whose components are those of "at most three bits differ" over the
-    distinct values of `column`; b is the smallest member of a ball that holds a.  Nulls
-    have no links."""
+def _met(fps: DataFrame, column: str) -> DataFrame:
+    """(fp, variant, meet) of the variants that another value of `column` shares."""
     nodes = fps.select(F.col(column).alias("fp")).where("fp IS NOT NULL").distinct()
     variants = nodes.selectExpr("fp", f"inline({_meeting_variants()}) AS (variant, keep, flip)")
-    variants = variants.selectExpr("fp", "variant", "flip", "(fp & keep) ^ flip AS meet")
-    met = _shared(variants, "meet", "variant % 3 < 2", "variant % 3 <> 1")
+    variants = variants.selectExpr("fp", "variant", "(fp & keep) ^ flip AS meet")
+    return _shared(variants, "meet", "variant % 3 < 2", "variant % 3 <> 1").drop("least")
+
+
+def _balls(met: DataFrame) -> DataFrame:
+    """(fp, centre, least) of the values of `met` that lie in a ball with another; any two in a ball that hold different
+    roles differ in three bits at most."""
     # the masks are a fixed table of 960 rows
-    balls = met.join(F.broadcast(_third_part(fps.sparkSession)), "variant").selectExpr(
-        "fp", "role", "fp ^ flip ^ third_flip AS centre"
-    )
-    return (
-        _shared(balls, "centre", "role = 1", "role = 2")
-        .where("fp <> least").select(F.col("fp").alias("a"), F.col("least").alias("b")).distinct()
+    balls = met.join(F.broadcast(_third_part(met.sparkSession)), "variant").selectExpr(
+        "fp", "role", "meet ^ (fp & others) ^ third_flip AS centre"
     )
+    return _shared(balls, "centre", "role = 1", "role = 2").drop("role")
+
+
+def links(fps: DataFrame, column: str = "fp") -> DataFrame:
+    """(a, b): links whose components are those of "at most three bits differ" over the
+    distinct values of `column`; b is the smallest member of a ball that holds a.  Nulls
+    have no links."""
+    balls = _balls(_met(fps, column))
+    return balls.where("fp <> least").select(F.col("fp").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -151,13 +166,153 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     return keyed.join(named.join(roots, "_root").select("fp", "component_id"), "fp", "left")
 
 
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Filter `docs` to one document of each component: its smallest id, and among rows that share
-    it the one with the smallest hash of the text."""
-    columns = [F.col(c) for c in docs.columns]
-    classed = near_duplicates(docs.withColumn("_text_hash", F.xxhash64(text)), id_column, text)
-    first = Window.partitionBy("component_id").orderBy(F.col(id_column).asc_nulls_last(), "_text_hash")
-    return classed.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").select(columns)
+def word_fingerprints(texts: list[bytes], seeds: Sequence[int]) -> np.ndarray:
+    """Fingerprints of the words of each text (row), one for each seed (column), as signed numbers.  Words are runs of
+    digits, letters and bytes beyond ASCII; a word weighs the square root of how often it occurs."""
+    hashes, text = word_hashes(texts, _NO_WORD)
+    out = np.zeros((len(texts), len(seeds)), np.uint64)
+    if len(hashes):
+        order = np.lexsort((hashes, text))
+        hashes, text = hashes[order], text[order]
+        heads = np.flatnonzero(np.concatenate(([True], (np.diff(hashes) != 0) | (np.diff(text) != 0))))
+        weights = np.sqrt(np.diff(np.append(heads, len(hashes)))).astype(np.float32)
+        hashes, text = hashes[heads], text[heads]
+        first = np.flatnonzero(np.concatenate(([True], np.diff(text) != 0)))
+        half = np.add.reduceat(weights, first) / 2
+        for k, seed in enumerate(seeds):
+            octets = mixed(hashes ^ np.uint64(seed)).view(np.uint8).reshape(-1, 8)
+            bits = np.add.reduceat(np.unpackbits(octets, axis=1) * weights[:, None], first, axis=0)
+            out[text[first], k] = np.packbits(bits > half[:, None], axis=1).view(np.uint64).ravel()
+    return out.view(np.int64)
+
+
+def _jaccard_at_least(a: str, b: str, least: float) -> bool:
+    """Whether the sets of five-word shingles are that similar; texts without words are equal."""
+    x, y = (_shingles(t) for t in (a, b))
+    if min(len(x), len(y)) < least * max(len(x), len(y)):
+        return False
+    same = len(x & y)
+    return same >= least * (len(x) + len(y) - same)
+
+
+@lru_cache(maxsize=16)
+def _shingles(text: str, words: int = 5) -> frozenset[bytes]:
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    if len(found) <= words:
+        return frozenset([b" ".join(found)])
+    return frozenset(map(b" ".join, zip(*(found[i:] for i in range(words)))))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of text hashes whose texts are similar, stored.  Only their texts are fetched from `texts` (hash, text)."""
+    pairs = store(pairs.distinct(), "near-pairs")
+    wanted = pairs.select(F.col("a").alias("hash")).unionByName(pairs.select(F.col("b").alias("hash"))).distinct()
+    near = texts.where(maybe_in(texts.sparkSession, bitmap(wanted, "hash"), "hash")).dropDuplicates(["hash"])
+    found = store(near.join(wanted, "hash", "left_semi"), "near-texts")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, x, y = (batch.column(c).to_pylist() for c in range(4))
+            kept = [k for k in range(len(a)) if _jaccard_at_least(x[k], y[k], least)]
+            yield pa.record_batch([pa.array([a[k] for k in kept], pa.int64()), pa.array([b[k] for k in kept], pa.int64())], ["a", "b"])
+
+    both = (
+        pairs.join(found.select(F.col("hash").alias("b"), F.col("text").alias("y")), "b")
+        .join(found.select(F.col("hash").alias("a"), F.col("text").alias("x")), "a").select("a", "b", "x", "y")
+    )
+    return store(both.mapInArrow(verify, "a long, b long"), "near-links")
+
+
+def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: float = SIMILARITY) -> DataFrame:
+    """(a, b): hashes of similar texts, from `texts` (hash, text); the components of the links are the classes.
+
+    A shingle fingerprint moves by three bits only if almost nothing changes, so candidates come from fingerprints of weighted
+    words: two texts are candidates if one of their fingerprints differs in three bits at most.  They are linked if
+    the Jaccard similarity of their five-word shingles is `least` or more, which is computed exactly.
+
+    Candidates are compared in two passes.  First every text with the hub of each ball that it is in, the member that
+    is in most balls; a text with thousands of near copies is that hub.  The second pass compares all candidates whose texts
+    the first has not brought into one class."""
+    spark = texts.sparkSession
+    known_to_workers(spark)
+
+    @F.arrow_udf("array<bigint>")
+    def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            rows, contents = [], batch.cast(pa.binary()).to_pylist()
+            for k in range(0, len(contents), 256):
+                rows += word_fingerprints([t or b"" for t in contents[k : k + 256]], seeds).tolist()
+            yield pa.array(rows, pa.list_(pa.int64()))
+
+    nodes = texts.select("hash", prints("text").alias("fps")).groupBy("hash").agg(F.first("fps").alias("fps"))
+    nodes = store(nodes, "near-nodes")
+    hubs, met = [], []
+    for k in range(len(seeds)):
+        keyed = nodes.select("hash", F.col("fps")[k].alias("fp"))
+        held = keyed.groupBy("fp").agg(F.min("hash").alias("rep"))
+        met.append(store(_met(held, "fp"), "near-met"))
+        balls = store(_balls(met[k]).select("centre", "fp").distinct(), "near-balls")
+        degree = balls.groupBy("fp").agg(F.count("*").alias("degree"))
+        ranked = balls.join(degree, "fp").select("centre", "fp", F.struct("degree", "fp").alias("rank"))
+        hub = ranked.groupBy("centre").agg(F.max("rank").alias("hub"))
+        stars = ranked.join(hub, "centre").select("fp", F.col("hub.fp").alias("hub")).where("fp <> hub").distinct()
+        reps = held.withColumnsRenamed({"fp": "hub", "rep": "hub_rep"})
+        hubs.append(stars.join(held, "fp").join(reps, "hub").select(F.col("rep").alias("a"), F.col("hub_rep").alias("b")))
+        hubs.append(keyed.join(held, "fp").where("hash <> rep").select(F.col("hash").alias("a"), F.col("rep").alias("b")))
+
+    def ordered(pairs: Sequence[DataFrame]) -> DataFrame:
+        every = reduce(DataFrame.unionByName, pairs)
+        return every.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+    tried = store(ordered(hubs), "near-tried")
+    first = _verified(tried, texts, least)
+    classes = store(components(first).withColumnRenamed("node", "hash"), "near-classes")
+    rest = []
+    for k in range(len(seeds)):
+        keyed = nodes.join(classes, "hash", "left").select(
+            F.col("fps")[k].alias("fp"), "hash", F.coalesce("component", "hash").alias("class")
+        )
+        # one variant that all values keep brings equal fingerprints together
+        alone = keyed.select("fp", F.lit(0).cast("tinyint").alias("variant"), F.col("fp").alias("meet"), "hash", "class")
+        same = keyed.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+        rows = met[k].join(keyed, "fp").select(alone.columns)
+        for one in (rows, alone.join(same, "fp").select(alone.columns)):
+            x = one.where("variant % 3 < 2").select("meet", *[F.col(c).alias(f"x_{c}") for c in ("fp", "hash", "class")])
+            y = one.where("variant % 3 <> 1").select("meet", *[F.col(c).alias(f"y_{c}") for c in ("fp", "hash", "class")])
+            close = x.join(y, "meet").where("x_class <> y_class AND bit_count(x_fp ^ y_fp) <= 3")
+            rest.append(close.select(F.col("x_hash").alias("a"), F.col("y_hash").alias("b")))
+    second = _verified(ordered(rest).join(tried, ["a", "b"], "left_anti"), texts, least)
+    return first.unionByName(second)
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", seeds: Sequence[int] = WORD_SEEDS,
+             least: float = SIMILARITY) -> DataFrame:
+    """`docs` with one document of each class of similar texts (`similar_texts`): the smallest id (null last), of equal ids
+    the smallest hash of the text, of rows equal in both any one.  A null text is an empty one.
+
+    Rows whose text is in no class and occurs once are passed on where they are read; only the others are shuffled."""
+    names = docs.columns
+    keyed = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    joined = similar_texts(keyed.select(F.col("_hash").alias("hash"), F.coalesce(F.col(text), F.lit("")).alias("text")), seeds, least)
+    classes = components(joined)
+    ids = store(keyed.select("_hash", F.struct(F.col(id_column).isNull().alias("last"), F.col(id_column).alias("id"), "_hash").alias("at")), "near-ids")
+    classed = ids.join(classes, ids._hash == classes.node, "left").select(
+        F.coalesce("component", "_hash").alias("class"), "_hash", "at"
+    )
+    firsts = classed.groupBy("class").agg(F.min("at").alias("at"), F.count("*").alias("n"))
+    grouped = firsts.where("n > 1")
+    several = store(classed.join(grouped.select("class"), "class").select("_hash").distinct(), "near-several")
+    firsts = store(grouped.select(F.col("at.id").alias("_first"), F.col("at._hash").alias("_hash")), "near-firsts")
+    spark = docs.sparkSession
+    near = maybe_in(spark, bitmap(several, "_hash"), "_hash")
+    marked = keyed.withColumn("_near", near)
+    open_ = marked.where("_near")
+    sure = open_.join(several, "_hash", "left_anti").select(names)
+    chosen = (
+        open_.join(firsts.withColumnRenamed("_hash", "_of"), (F.col("_hash") == F.col("_of")) & F.col(id_column).eqNullSafe(F.col("_first")), "left_semi")
+        .dropDuplicates(["_hash"]).select(names)
+    )
+    return marked.where("NOT _near").select(names).unionByName(sure).unionByName(chosen)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ of a task, as no token of this vocabulary spans white space; a cache of bounded
 answers for the next batches.  Results are those of encoding whole texts (tested).
 """
 
+import re
 import struct
 import zlib
 from array import array
@@ -44,8 +45,9 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
 ROUNDS, RULES_A_ROUND, LEAST_COUNT = 8, 512, 8
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 _BINS = 18
+_FINAL = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n])")  # a token of its own
 _END = b" "  # stands for the end of a document; no word holds a space
 _HEADER = struct.Struct("<4s7I")
 
@@ -100,14 +102,14 @@ class WordEncoder:
                 tails[word] = before
         whole = {*tails.values()} | {w[-1:] for w in tails} | (words - tails.keys())
         rest = [w for w in whole if w not in self.codes]
-        plain, model, other = self.letters, self.tokenizer.model, []
+        plain, tokenize, other = self.letters, self.tokenizer.model.tokenize, []
         for word in rest:
             text = word.decode()
             # letters of Latin-1 are normalised by lower-casing alone and make one pre-token
-            if text.isalpha() and max(text) <= "ÿ":
-                text = text.lower()
-                mapped = text if text.isascii() else "".join([plain[b] for b in text.encode()])
-                self._add(word, [t.id for t in model.tokenize(mapped)])
+            if word.isalpha():
+                self._add(word, [t.id for t in tokenize(text.lower())])
+            elif text.isalpha() and max(text) <= "ÿ":
+                self._add(word, [t.id for t in tokenize("".join([plain[b] for b in text.lower().encode()]))])
             else:
                 other.append(word)
         encoded = self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
@@ -124,14 +126,16 @@ class WordEncoder:
         words_of = []
         for text in texts:
             text = text or b""
-            more = (text if b"<|" in text else text.lower()).split()
+            more = _FINAL.sub(rb" \1", text if b"<|" in text else text.lower()).split()
             words += more
             words.append(_END)
             words_of.append(len(more) + 1)
         codes = list(map(self.codes.get, words))
-        if None in codes:
-            self._learn({w for w, c in zip(words, codes) if c is None})
-            codes = list(map(self.codes.get, words))
+        new = [i for i, c in enumerate(codes) if c is None]
+        if new:
+            self._learn({words[i] for i in new})
+            for i in new:
+                codes[i] = self.codes[words[i]]
         if not words_of:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         picked = np.array(codes, np.int64)
@@ -165,11 +169,12 @@ def compress(ids: np.ndarray, counts: np.ndarray) -> bytes:
     size = len(used)
     for _ in range(ROUNDS):
         keys = (symbols[:-1].astype(pair) << shift) | symbols[1:]
-        bins = (keys * mix) >> bin_of
-        inside = ~last[:-1]
-        counted = np.bincount(bins[inside], minlength=1 << _BINS)
+        bins = ((keys * mix) >> bin_of).astype(np.intp)
+        bins[last[:-1]] = 1 << _BINS  # a bin for pairs that span documents
+        counted = np.bincount(bins, minlength=(1 << _BINS) + 1)
+        counted[-1] = 0
         floor = max(LEAST_COUNT, np.partition(counted, -RULES_A_ROUND)[-RULES_A_ROUND])
-        at = np.flatnonzero((counted >= floor)[bins] & inside)
+        at = np.flatnonzero((counted >= floor)[bins])
         pairs, n = np.unique(keys[at], return_counts=True)
         best = np.flatnonzero(n >= LEAST_COUNT)
         best = np.sort(best[np.argsort(-n[best], kind="stable")[:RULES_A_ROUND]])

@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import known_to_workers, read_table, store
+from ebbtide.llm.common import bitmap, known_to_workers, maybe_in, read_table, store
 
 TRAIN_ROWS = 60_000
 PARTS = {"lexicon": (0, 4), "trees": (4, 8), "calibration": (8, 10)}  # tenths of the sample
@@ -191,7 +191,7 @@ def score(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
 
     kept = [c for c in docs.columns if c not in (text, "score")]
     rows = with_features(docs.select(*kept, F.col(text).alias("_text")), "_text", learned, "_features")
-    rows = store(rows.withColumn("_row", F.xxhash64("_text")).drop("_text"), "toxicity-features")
+    rows = store(rows.drop("_text"), "toxicity-features")
     train = rows.select(F.col(id_column).alias("_id"), "_features").join(F.broadcast(sample), "_id")
     train = store(train.select("part", "label", array_to_vector("_features").alias("features")).coalesce(32), "toxicity-train")
     trees, calibration = (train.where(F.col("part") == p) for p in ("trees", "calibration"))
@@ -211,6 +211,22 @@ def score(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     return scored.select(*kept, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_score"))).alias("score"))
 
 
+def below(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_column: str = "doc_id", text: str = "text",
+          **options) -> DataFrame:
+    """`docs` whose score is below `threshold`, with all columns.
+
+    The rejected texts are few and known by their hash (of the text as it stands); a bitmap of fixed size passes the
+    others on where they are read, and only texts that share a bit with a rejected one are joined."""
+    names = docs.columns
+    hash_ = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    scored = score(docs.select(id_column, text, hash_.alias("_hash")), labels, id_column, text, **options)
+    rejected = store(scored.where(F.col("score") >= threshold).select("_hash").distinct(), "toxicity-rejected")
+    marked = docs.withColumn("_hash", hash_)
+    marked = marked.withColumn("_near", maybe_in(docs.sparkSession, bitmap(rejected, "_hash"), "_hash"))
+    clean = marked.where("_near").join(rejected, "_hash", "left_anti")
+    return marked.where("NOT _near").select(names).unionByName(clean.select(names))
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score(docs, read_table(spark, sf_dir, "labels"))
