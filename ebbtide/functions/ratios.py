@@ -20,7 +20,8 @@ def lcr_surplus_deficit(eligible: Column, outflow: Column) -> Column:
 
 
 def lcr_status(eligible: Column, outflow: Column) -> Column:
-    """A negative outflow gives a negative ratio and so `Non-Compliant`."""
+    """By the ratio, also where the outflow is negative: negative assets over a negative outflow can be
+    `Compliant`."""
     ratio = eligible / outflow
     return (
         F.when(outflow == 0, "No Outflows")

@@ -110,10 +110,11 @@ def after_haircut(value: Column, haircut: Column) -> Column:
 
 
 def quality_adjusted_haircut(rating: Column, haircut: Column) -> Column:
-    """Haircut raised for poor ratings, up to a ceiling; not rounded."""
+    """Haircut raised for poor ratings, up to a ceiling; not rounded.  An unknown haircut stays unknown."""
     kind = "decimal(9,5)"
     return (
-        F.when(rating == "D", F.least(_number("0.60").cast(kind), (haircut * _number("1.5")).cast(kind)))
+        F.when(haircut.isNull(), F.lit(None).cast(kind))
+        .when(rating == "D", F.least(_number("0.60").cast(kind), (haircut * _number("1.5")).cast(kind)))
         .when(rating == "C", F.least(_number("0.45").cast(kind), (haircut * _number("1.2")).cast(kind)))
         .otherwise(haircut.cast(kind))
     )

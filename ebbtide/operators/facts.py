@@ -251,30 +251,35 @@ def collateral_aggregated(collateral: DataFrame) -> DataFrame:
     )
 
 
-def with_concentration(df: DataFrame, value: str, group: Sequence[str]) -> DataFrame:
-    """Add each row's percentage of its group's total.  Rows with a NULL group drop out.
+def with_concentration(df: DataFrame, value: str, totals: DataFrame, total: str) -> DataFrame:
+    """Add each row's percentage of the total of its day, country and subsidiary, which `totals`
+    (the liquidity metrics, or one of their parts) holds in column `total`.
 
-    The totals are summed on the map side and joined back, so a group of any
-    size spreads over many tasks; a window would put it into one.  `df` is read
-    twice and should be a stored frame or a small one."""
-    totals = df.groupBy(*group).agg(F.sum(value).alias("_total"))
+    `df` is read once; rows without a total, or with a NULL country or subsidiary, drop out.
+    More columns of `totals` come along."""
     return (
-        df.join(totals, list(group))
+        df.join(totals.withColumnRenamed(total, "_total"), GRAIN)
         .withColumn("concentration_percentage", share_percent(F.col(value), F.col("_total")))
         .drop("_total")
     )
 
 
-def hqla_concentration(hqla: DataFrame) -> DataFrame:
-    return with_concentration(hqla_aggregated(hqla), "total_eligible_value_eur", GRAIN)
+def _shares(df: DataFrame, value: str, metrics: DataFrame, total: str) -> DataFrame:
+    return with_concentration(df, value, metrics.select(*GRAIN, total), total)
 
 
-def funding_concentration(balances: DataFrame) -> DataFrame:
-    return with_concentration(funding_aggregated(balances), "total_balance_eur", GRAIN)
+def hqla_concentration(hqla: DataFrame, metrics: DataFrame) -> DataFrame:
+    return _shares(hqla_aggregated(hqla), "total_eligible_value_eur", metrics, "total_hqla_eligible_eur")
 
 
-def collateral_concentration(collateral: DataFrame) -> DataFrame:
-    return with_concentration(collateral_aggregated(collateral), "total_net_value_eur", GRAIN)
+def funding_concentration(balances: DataFrame, metrics: DataFrame) -> DataFrame:
+    return _shares(funding_aggregated(balances), "total_balance_eur", metrics, "total_balance_eur")
+
+
+def collateral_concentration(collateral: DataFrame, metrics: DataFrame) -> DataFrame:
+    return _shares(
+        collateral_aggregated(collateral), "total_net_value_eur", metrics, "total_collateral_net_eur"
+    )
 
 
 def with_stable_funding_ratio(funding: DataFrame) -> DataFrame:
@@ -284,36 +289,40 @@ def with_stable_funding_ratio(funding: DataFrame) -> DataFrame:
     )
 
 
-def _position_fact(name: str, key: str, aggregated: DataFrame, groups: Sequence[str],
-                   value: str, dims: Dims, load_time: Column | None) -> DataFrame:
-    # Stored once in key order; totals and key offsets both read the stored rows.
-    placed = place_rows(dim_lookup(aggregated, dims), [*GRAIN, *groups], key)
-    fact = number_rows(with_concentration(placed, value, GRAIN_KEYS), placed, key, LONG)
-    if name == "fact_funding_stability":
-        fact = with_stable_funding_ratio(fact)
-    return conform(with_load_timestamp(fact, load_time), GOLD[name])
+def _position_fact(name: str, key: str, aggregated: DataFrame, groups: Sequence[str], value: str,
+                   metrics: DataFrame, total: str, dims: Dims, load_time: Column | None) -> DataFrame:
+    """The dimensions are joined to the short metrics; the aggregated rows join keys and totals
+    at once, and are then stored in key order and numbered."""
+    places = dim_lookup(metrics.select(*GRAIN, F.col(total).alias("_whole")), dims)
+    shares = with_concentration(aggregated, value, places, "_whole")
+    placed = place_rows(shares, [*GRAIN, *groups], key)
+    return conform(with_load_timestamp(number_rows(placed, placed, key, LONG), load_time), GOLD[name])
 
 
-def fact_hqla_position(hqla: DataFrame, dims: Dims, load_time: Column | None = None) -> DataFrame:
+def fact_hqla_position(hqla: DataFrame, metrics: DataFrame, dims: Dims,
+                       load_time: Column | None = None) -> DataFrame:
+    """`metrics` are the liquidity metrics over the same assets, here and below."""
     return _position_fact(
         "fact_hqla_position", "hqla_position_key", hqla_aggregated(hqla),
-        ["hqla_level", "asset_type", "credit_rating"], "total_eligible_value_eur", dims, load_time,
+        ["hqla_level", "asset_type", "credit_rating"], "total_eligible_value_eur",
+        metrics, "total_hqla_eligible_eur", dims, load_time,
     )
 
 
-def fact_funding_stability(balances: DataFrame, dims: Dims,
+def fact_funding_stability(balances: DataFrame, metrics: DataFrame, dims: Dims,
                            load_time: Column | None = None) -> DataFrame:
     return _position_fact(
-        "fact_funding_stability", "funding_stability_key", funding_aggregated(balances),
+        "fact_funding_stability", "funding_stability_key",
+        with_stable_funding_ratio(funding_aggregated(balances)),
         ["maturity_bucket", "customer_segment", "account_type"], "total_balance_eur",
-        dims, load_time,
+        metrics, "total_balance_eur", dims, load_time,
     )
 
 
-def fact_collateral_risk(collateral: DataFrame, dims: Dims,
+def fact_collateral_risk(collateral: DataFrame, metrics: DataFrame, dims: Dims,
                          load_time: Column | None = None) -> DataFrame:
     return _position_fact(
         "fact_collateral_risk", "collateral_risk_key", collateral_aggregated(collateral),
         ["collateral_type", "quality_rating", "collateral_status"], "total_net_value_eur",
-        dims, load_time,
+        metrics, "total_collateral_net_eur", dims, load_time,
     )

@@ -118,7 +118,7 @@ def hqla_vs_outflows_by_country(fact: DataFrame, countries: DataFrame) -> DataFr
 def _amount_summary(df: DataFrame, group: str, amount: str, *more: Column) -> DataFrame:
     return (
         df.filter(F.col(group).isNotNull())
-        .groupBy(group)
+        .groupBy(F.trim(group).alias(group))
         .agg(
             F.count(amount).alias("record_count"),
             F.sum(amount).cast("decimal(28,2)").alias("total_eur"),
@@ -145,10 +145,12 @@ def collateral_by_type(collateral: DataFrame) -> DataFrame:
 def volatility_pivot(balances: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
     """Rows per country, one column per volatility that occurs, or per one of `values`.
 
-    Finding the values needs a job of its own, so the short counts are stored first
-    and the balances are read once."""
+    More than `spark.sql.pivotMaxValues` different values fail the query.  Finding the
+    values needs a job of its own, so the short counts are stored first and the balances
+    are read once."""
     columns = ["country", "balance_volatility"]
-    counts = balances.dropna(subset=columns).groupBy(*columns).count()
+    known = balances.dropna(subset=columns).withColumn("country", F.trim("country"))
+    counts = known.groupBy(*columns).count()
     if values is None:
         counts = materialise(counts, "volatility")
     wide = counts.groupBy("country").pivot("balance_volatility", values and list(values))

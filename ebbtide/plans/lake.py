@@ -4,18 +4,29 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ebbtide.operators.bronze import to_bronze
+from ebbtide.operators.conform import conform
 from ebbtide.operators.dimensions import dim_account, dim_country, dim_date, dim_subsidiary
 from ebbtide.operators.facts import (
     Dims, combined_metrics, fact_collateral_risk, fact_funding_stability, fact_hqla_position,
     liquidity_fact,
 )
 from ebbtide.operators.silver import silver_balances, silver_collateral, silver_hqla
-from ebbtide.schemas import BRONZE, FACTS, GOLD
-from ebbtide.sources.storage import read_table, write_table
+from ebbtide.schemas import BRONZE, FACTS, GOLD, METRICS, SILVER
+from ebbtide.sources.storage import is_complete, read_table, work_folder, write_table
 
 DATASETS = list(BRONZE)
+REJECTS = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("line", T.StringType())])
+SCHEMAS = {
+    **{f"rejects_{d}": REJECTS for d in DATASETS},
+    **{f"bronze_{d}": s for d, s in BRONZE.items()},
+    **{f"silver_{d}": s for d, s in SILVER.items()},
+    "liquidity_metrics": METRICS, **GOLD,
+}
+# Silver and the facts are stored by day, so that a date filter reads its days only.
+STORED_BY = {**{f"silver_{d}": ["business_date"] for d in DATASETS}, **{f: ["date_key"] for f in FACTS}}
 
 
 def at_once(action: Callable, names: list[str]) -> list:
@@ -27,36 +38,49 @@ def at_once(action: Callable, names: list[str]) -> list:
 
 class Lake:
     """Tables below one folder, built from the raw feeds on first use and read from
-    the folder afterwards.
+    the folder afterwards, also by a later Lake on the same folder, which then needs no feeds.
+    A table whose write did not end counts as missing; only `build` replaces a table.
+
+    `rejects` are the landing lines that permissive scans of the feeds left out; they are stored too.
 
     Each layer reads the stored layer before it: text is parsed once, and silver's
     filters reach the parquet scan.  A value that does not fit its type fails the run,
     or is NULL if `permissive`."""
 
-    def __init__(self, spark: SparkSession, root: str, feeds: Mapping[str, DataFrame],
+    def __init__(self, spark: SparkSession, root: str, feeds: Mapping[str, DataFrame] | None = None,
                  bronze_time: Column | None = None, load_time: Column | None = None,
-                 permissive: bool = False):
+                 permissive: bool = False, rejects: Mapping[str, DataFrame] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.feeds = feeds
+        self.feeds = feeds or {}
+        self.rejects = rejects or {}
         self.bronze_time = bronze_time
         self.load_time = load_time
         self.permissive = permissive
-        self._schemas = {}
+        self._stored = set()
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     def build(self, name: str) -> DataFrame:
-        """(Re)build and store one table."""
-        stored = write_table(BUILDERS[name](self), f"{self.root}/{name}")
-        self._schemas[name] = stored.schema
-        return stored
+        """(Re)build and store one table; its intermediate results go when it is written."""
+        with work_folder(self.spark):
+            write_table(BUILDERS[name](self), self.path(name), STORED_BY.get(name, ()))
+        self._stored.add(name)
+        return self.table(name)
+
+    def has(self, name: str) -> bool:
+        if name not in self._stored and is_complete(self.spark, self.path(name)):
+            self._stored.add(name)
+        return name in self._stored
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._schemas:
+        if not self.has(name):
             return self.build(name)
-        return read_table(self.spark, f"{self.root}/{name}", self._schemas[name])
+        return read_table(self.spark, self.path(name), SCHEMAS[name])
 
     def tables(self, names: Iterable[str]) -> dict[str, DataFrame]:
-        at_once(self.build, [n for n in names if n not in self._schemas])
+        at_once(self.build, [n for n in names if not self.has(n)])
         return {n: self.table(n) for n in names}
 
     def bronze(self) -> dict[str, DataFrame]:
@@ -79,17 +103,24 @@ class Lake:
 
 
 def _bronze(dataset: str) -> Callable[[Lake], DataFrame]:
-    return lambda lake: to_bronze(lake.feeds[dataset], dataset, lake.bronze_time, lake.permissive)
+    def build(lake: Lake) -> DataFrame:
+        if dataset not in lake.feeds:
+            raise ValueError(f"bronze_{dataset} is not stored in {lake.root} and there is no feed for it")
+        return to_bronze(lake.feeds[dataset], dataset, lake.bronze_time, lake.permissive)
+
+    return build
 
 
 # The metrics hold every date, country and subsidiary of silver, once each: the
 # dimensions read this short table instead of scanning silver three more times.
 BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
+    **{f"rejects_{d}": lambda k, d=d: k.rejects[d] for d in DATASETS},
     **{f"bronze_{d}": _bronze(d) for d in DATASETS},
     "silver_balances": lambda k: silver_balances(k.table("bronze_balances"), k.load_time),
     "silver_hqla": lambda k: silver_hqla(k.table("bronze_hqla"), k.load_time),
     "silver_collateral": lambda k: silver_collateral(k.table("bronze_collateral"), k.load_time),
-    "liquidity_metrics": lambda k: combined_metrics(**k.silver(), accounts_unique=True),
+    "liquidity_metrics": lambda k: conform(
+        combined_metrics(**k.silver(), accounts_unique=True), METRICS),
     "dim_date": lambda k: dim_date([k.table("liquidity_metrics")]),
     "dim_country": lambda k: dim_country([k.table("liquidity_metrics")]),
     "dim_subsidiary": lambda k: dim_subsidiary([k.table("liquidity_metrics")]),
@@ -97,11 +128,11 @@ BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
     "fact_intraday_liquidity": lambda k: liquidity_fact(
         k.table("liquidity_metrics"), k.dims(), k.load_time),
     "fact_hqla_position": lambda k: fact_hqla_position(
-        k.table("silver_hqla"), k.dims(), k.load_time),
+        k.table("silver_hqla"), k.table("liquidity_metrics"), k.dims(), k.load_time),
     "fact_funding_stability": lambda k: fact_funding_stability(
-        k.table("silver_balances"), k.dims(), k.load_time),
+        k.table("silver_balances"), k.table("liquidity_metrics"), k.dims(), k.load_time),
     "fact_collateral_risk": lambda k: fact_collateral_risk(
-        k.table("silver_collateral"), k.dims(), k.load_time),
+        k.table("silver_collateral"), k.table("liquidity_metrics"), k.dims(), k.load_time),
 }
 
 # Per layer, groups of tables that can be built at the same time.

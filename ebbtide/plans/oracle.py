@@ -52,9 +52,12 @@ def _ratio(part: str, whole: str) -> str:
     return f"CASE WHEN {whole} > 0 THEN {rounded} ELSE 0 END"
 
 
-# Ratio of eligible assets (two digits) to outflow (six digits), in millionths.
+# Ratio of eligible assets (two digits) to outflow (six digits), in millionths; both change
+# sign where the outflow is negative.
+_SIGN = "CAST(sign(weighted_outflow_amount) AS HUGEINT)"
 _LCR_MILLIONTHS = _half_up(
-    f"{_units('total_hqla_eligible_eur', 2)} * 10000000000", _units("weighted_outflow_amount", 6)
+    f"({_SIGN} * {_units('total_hqla_eligible_eur', 2)} * 10000000000)",
+    f"({_SIGN} * {_units('weighted_outflow_amount', 6)})",
 )
 _LCR = (
     "CASE WHEN weighted_outflow_amount > 0 THEN "
@@ -67,7 +70,6 @@ _SURPLUS = (
 )
 _STATUS = (
     "CASE WHEN weighted_outflow_amount = 0 THEN 'No Outflows' "
-    "WHEN weighted_outflow_amount < 0 THEN 'Non-Compliant' "
     f"WHEN {_LCR_MILLIONTHS} >= 1000000 THEN 'Compliant' "
     f"WHEN {_LCR_MILLIONTHS} >= 900000 THEN 'At Risk' ELSE 'Non-Compliant' END"
 )
@@ -179,17 +181,18 @@ _OF_BALANCE_AND_HQLA = [m for m in _METRICS if "collateral" not in m]
 
 
 def _zero_filled(metrics: list[str]) -> str:
-    return ", ".join(f"coalesce({m}, 0) AS {m}" for m in metrics)
+    return ", ".join(f"coalesce(max({m}), 0) AS {m}" for m in metrics)
 
 
-CTES["two_way_metrics"] = (
-    f"SELECT {_GRAIN}, {_zero_filled(_OF_BALANCE_AND_HQLA)} "
-    f"FROM balance_metrics FULL JOIN hqla_metrics USING ({_GRAIN})"
-)
-CTES["combined_metrics"] = (
-    f"SELECT {_GRAIN}, {_zero_filled(_METRICS)} FROM balance_metrics "
-    f"FULL JOIN hqla_metrics USING ({_GRAIN}) FULL JOIN collateral_metrics USING ({_GRAIN})"
-)
+def _together(metrics: list[str], *tables: str) -> str:
+    """Metrics of all tables beside each other; NULL places are one group, as for GROUP BY."""
+    rows = " UNION ALL BY NAME ".join(f"SELECT * FROM {t}" for t in tables)
+    return f"SELECT {_GRAIN}, {_zero_filled(metrics)} FROM ({rows}) GROUP BY ALL"
+
+
+CTES["two_way_metrics"] = _together(_OF_BALANCE_AND_HQLA, "balance_metrics", "hqla_metrics")
+CTES["combined_metrics"] = _together(
+    _METRICS, "balance_metrics", "hqla_metrics", "collateral_metrics")
 
 
 def _from_silver(columns: str) -> str:
@@ -211,6 +214,7 @@ SELECT CAST(strftime(business_date, '%Y%m%d') AS INT) AS date_key, business_date
   CAST(year(business_date) AS INT) AS fiscal_year,
   CAST(quarter(business_date) AS INT) AS fiscal_quarter
 FROM ({_from_silver('business_date')})"""
+# What the rules know about a country.
 CTES["country_rules"] = """
 SELECT * FROM (VALUES
  ('Germany', 'DEU', 'Western Europe', 'EUR', 'Y', 'Low'),
@@ -300,8 +304,8 @@ _OVERDUE = (
     + _when("net_realizable_value_eur", _LATE, "overdue_review_value_eur")
 )
 _NET = "net_realizable_value_eur"
-# A is 65 in ASCII, so A to D score 4 to 1.
-_SCORE = "CASE WHEN quality_rating IN ('A', 'B', 'C', 'D') THEN 69 - ascii(quality_rating) ELSE 0 END"
+# The scores of the ratings.
+_SCORE = "CASE quality_rating WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 2 WHEN 'D' THEN 1 ELSE 0 END"
 _AVG_SCORE = _decimal(
     _half_up(f"CAST(sum({_SCORE}) AS HUGEINT) * 10000", "count(*)"), 4, "DECIMAL(8,4)"
 )
@@ -325,7 +329,8 @@ def _with_share(table: str, value: str) -> str:
     whole = f"sum({value}) OVER (PARTITION BY {_GRAIN})"
     return (
         f"SELECT * EXCLUDE (whole), {_percent(value, 'whole')} AS concentration_percentage "
-        f"FROM (SELECT *, {whole} AS whole FROM {table})"
+        f"FROM (SELECT *, {whole} AS whole FROM {table} "
+        "WHERE country IS NOT NULL AND subsidiary IS NOT NULL)"
     )
 
 
@@ -429,11 +434,15 @@ _Q["write_landing_csv"] = (
 )
 _Q["write_table"] = _Q["silver_balances"]
 _Q["overwrite_table"] = f"SELECT {_with_text('collateral', True, False)} FROM bronze_collateral"
-_Q["describe_table"] = """
+_Q["describe_table"] = f"""
 SELECT column_name AS col_name, CASE column_type WHEN 'VARCHAR' THEN 'string'
-  WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS data_type
-FROM (DESCRIBE SELECT * FROM bronze_hqla)"""
-_Q["trim_strings"] = f"SELECT {_with_text('balances', True, False)} FROM bronze_balances"
+  WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS data_type, filled_rows
+FROM (DESCRIBE SELECT * FROM bronze_hqla)
+JOIN (UNPIVOT (SELECT {', '.join(f'count({n}) AS {n}' for n in BRONZE['hqla'].names)} FROM bronze_hqla)
+      ON COLUMNS(*) INTO NAME column_name VALUE filled_rows) USING (column_name)"""
+for _name in BRONZE:
+    _Q["trim_strings" + ("" if _name == "balances" else f"_{_name}")] = (
+        f"SELECT {_with_text(_name, True, False)} FROM bronze_{_name}")
 _Q["normalise_flags"] = f"SELECT {_with_text('balances', False)} FROM bronze_balances"
 _Q["normalise_flags_hqla"] = f"SELECT {_with_text('hqla', False)} FROM bronze_hqla"
 _Q["normalise_flags_collateral"] = (
@@ -490,8 +499,9 @@ SELECT CAST(row_number() OVER (ORDER BY country NULLS FIRST, subsidiary NULLS FI
     account_type NULLS FIRST, customer_segment NULLS FIRST) AS INT) AS product_key, *
 FROM (SELECT DISTINCT country, subsidiary, account_type, customer_segment FROM silver_balances)"""
 _Q["date_key"] = """
-SELECT DISTINCT business_date, CAST(strftime(business_date, '%Y%m%d') AS INT) AS date_key
-FROM silver_hqla"""
+SELECT business_date, CAST(strftime(business_date, '%Y%m%d') AS INT) AS date_key
+FROM (SELECT business_date FROM silver_balances UNION SELECT business_date FROM silver_hqla
+      UNION SELECT business_date FROM silver_collateral)"""
 
 _Q["balance_metrics"] = _typed("fact_intraday_liquidity", "balance_metrics")
 _Q["hqla_metrics"] = _typed("fact_intraday_liquidity", "hqla_metrics")
@@ -619,10 +629,10 @@ SELECT country_name, CAST(sum(total_hqla_eligible_eur) AS DECIMAL(28,2)) AS tota
 def _amounts(dataset: str, group: str, more: str = "") -> str:
     amount = _AMOUNT[dataset]
     return (
-        f"SELECT {group}, count({amount}) AS record_count, "
+        f"SELECT trim({group}) AS {group}, count({amount}) AS record_count, "
         f"CAST(sum({amount}) AS DECIMAL(28,2)) AS total_eur, "
         f"{_avg(amount, 2, 2, 'DECIMAL(20,2)')} AS mean_eur{more} "
-        f"FROM bronze_{dataset} WHERE {group} IS NOT NULL GROUP BY {group}"
+        f"FROM bronze_{dataset} WHERE {group} IS NOT NULL GROUP BY trim({group})"
     )
 
 
@@ -631,10 +641,10 @@ _Q["balances_by_country"] = _amounts(
     f", {_avg('weighted_outflow_rate', 4, 2, 'DECIMAL(8,2)')} AS mean_outflow_rate")
 _Q["hqla_by_level"] = _amounts("hqla", "hqla_level")
 _Q["collateral_by_type"] = _amounts("collateral", "collateral_type")
-_Q["volatility_pivot"] = "SELECT country, " + ", ".join(
+_Q["volatility_pivot"] = "SELECT trim(country) AS country, " + ", ".join(
     f"count(*) FILTER (WHERE balance_volatility = '{v}') AS \"{v}\""
     for v in ("High", "Low", "Medium")
-) + " FROM bronze_balances WHERE country IS NOT NULL GROUP BY country"
+) + " FROM bronze_balances WHERE country IS NOT NULL GROUP BY trim(country)"
 
 _Q["fx_to_eur"] = """
 SELECT source_file, currency, balance_local, CAST(round(balance_local * rate, 2) AS DECIMAL(18,2))
@@ -664,11 +674,11 @@ SELECT source_file, gross_value_eur, haircut_percentage,
 FROM bronze_collateral"""
 _Q["stable_funding_flag"] = """
 SELECT source_file, maturity_bucket,
-  if(maturity_bucket = '180-day' OR maturity_bucket LIKE '%1-year', 'Y', 'N') AS stable_flag
+  if(maturity_bucket IN ('180-day', '1-year', '>1-year'), 'Y', 'N') AS stable_flag
 FROM bronze_balances"""
 _Q["business_key"] = """
 SELECT source_file, country, 'ACC' || upper(left(country, 3))
-  || format('{:06d}', CAST(substr(trim(account_id), 7) AS BIGINT)) AS account_key_text
+  || format('{:06d}', TRY_CAST(substr(trim(account_id), 7) AS BIGINT)) AS account_key_text
 FROM bronze_balances"""
 _Q["next_review_date"] = """
 SELECT source_file, valuation_date, liquidation_period_days,

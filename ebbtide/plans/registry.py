@@ -115,34 +115,39 @@ def write_table(k):
 
 @_query
 def overwrite_table(k):
-    """Replace the rows of a catalog table; its entry goes again, its files stay."""
+    """Replace the rows of a catalog table from a frame in another order, with a column too many;
+    the entry goes again, its files stay."""
     path = storage.fresh_folder(k.spark, "table")
     name = "collateral_" + path.rsplit("-", 1)[1]
     rows = k.table("bronze_collateral")
     storage.save_table(rows, name, path)
-    storage.overwrite_table(silver.trim_strings(rows), name)
+    shuffled = silver.trim_strings(rows).select(*reversed(rows.columns), F.lit(1).alias("remark"))
+    storage.overwrite_table(shuffled, name)
     k.spark.sql(f"DROP TABLE {name}")
     return storage.read_table(k.spark, path, rows.schema)
 
 
 @_query
 def describe_table(k):
-    """Columns of a whole table once it is in the catalog."""
-    path = storage.fresh_folder(k.spark, "table")
-    name = "hqla_" + path.rsplit("-", 1)[1]
-    storage.save_table(k.table("bronze_hqla"), name, path)
-    columns = storage.describe_table(k.spark, name).filter("comment <> ''")
+    """Columns of a stored table that is entered in the catalog where it lies, and in how many rows
+    each is filled."""
+    k.table("bronze_hqla")
+    name = "hqla_" + storage.fresh_folder(k.spark, "table").rsplit("-", 1)[1]
+    storage.register_table(k.spark, name, k.path("bronze_hqla"), BRONZE["hqla"])
+    columns = storage.describe_table(k.spark, name).filter("comment <> ''").select("col_name", "data_type")
     k.spark.sql(f"DROP TABLE {name}")
-    return columns.select("col_name", "data_type")
+    names = BRONZE["hqla"].names
+    filled = k.table("bronze_hqla").agg(*[F.count(c).alias(c) for c in names]).unpivot(
+        [], names, "col_name", "filled_rows"
+    )
+    return columns.join(filled, "col_name")
 
 
 # ---- bronze ---------------------------------------------------------------------------
 
-for _dataset in DATASETS:
-    _add(
-        f"bronze_{_dataset}",
-        lambda k, d=_dataset: bronze.to_bronze(k.feeds[d], d, k.bronze_time),
-    )
+_add("bronze_balances", lambda k: bronze.bronze_balances(k.feeds["balances"], k.bronze_time))
+_add("bronze_hqla", lambda k: bronze.bronze_hqla(k.feeds["hqla"], k.bronze_time))
+_add("bronze_collateral", lambda k: bronze.bronze_collateral(k.feeds["collateral"], k.bronze_time))
 _add("bronze_summary", lambda k: profiling.bronze_summary(k.bronze()))
 _add("bronze_record_counts", lambda k: profiling.bronze_record_counts(k.bronze()))
 
@@ -160,6 +165,8 @@ _add("filter_required_balances", lambda k: silver.filter_required_balances(_BALA
 _add("filter_valid_hqla", lambda k: silver.filter_valid_hqla(_HQLA(k)))
 _add("filter_valid_collateral", lambda k: silver.filter_valid_collateral(_COLLATERAL(k)))
 _add("trim_strings", lambda k: silver.trim_strings(_BALANCES(k)))
+_add("trim_strings_hqla", lambda k: silver.trim_strings(_HQLA(k)))
+_add("trim_strings_collateral", lambda k: silver.trim_strings(_COLLATERAL(k)))
 _add("normalise_flags", lambda k: silver.normalise_flags(_BALANCES(k), silver.FLAGS["balances"]))
 _add("normalise_flags_hqla", lambda k: silver.normalise_flags(_HQLA(k), silver.FLAGS["hqla"]))
 _add(
@@ -198,7 +205,7 @@ def surrogate_key_dense(k):
 
 
 def _date_keys(k: Lake) -> DataFrame:
-    days = dimensions.distinct_values([k.table("silver_hqla")], ["business_date"])
+    days = dimensions.distinct_values(list(k.silver().values()), ["business_date"])
     return days.select("business_date", date_key(F.col("business_date")).alias("date_key"))
 
 
@@ -246,10 +253,10 @@ _add("surrogate_key_fact", lambda k: keys.surrogate_key_fact(
 _add("hqla_aggregated", lambda k: _typed(
     facts.hqla_aggregated(k.table("silver_hqla")), "fact_hqla_position"))
 _add("hqla_concentration", lambda k: _typed(
-    facts.hqla_concentration(k.table("silver_hqla")), "fact_hqla_position"
+    facts.hqla_concentration(k.table("silver_hqla"), _metrics(k)), "fact_hqla_position"
 ).select(*facts.GRAIN, "hqla_level", "asset_type", "credit_rating", "concentration_percentage"))
 _add("fact_hqla_position", lambda k: facts.fact_hqla_position(
-    k.table("silver_hqla"), k.dims(), _load_time()))
+    k.table("silver_hqla"), _metrics(k), k.dims(), _load_time()))
 
 _FUNDING = ["maturity_bucket", "customer_segment", "account_type"]
 _add("funding_aggregated", lambda k: _typed(
@@ -262,10 +269,10 @@ _add("stable_funding_ratio", lambda k: _typed(
     .select(*facts.GRAIN, *_FUNDING, "stable_funding_ratio"),
     "fact_funding_stability"))
 _add("funding_concentration", lambda k: _typed(
-    facts.funding_concentration(k.table("silver_balances")), "fact_funding_stability"
+    facts.funding_concentration(k.table("silver_balances"), _metrics(k)), "fact_funding_stability"
 ).select(*facts.GRAIN, *_FUNDING, "concentration_percentage"))
 _add("fact_funding_stability", lambda k: facts.fact_funding_stability(
-    k.table("silver_balances"), k.dims(), _load_time()))
+    k.table("silver_balances"), _metrics(k), k.dims(), _load_time()))
 
 _PLEDGED = ["collateral_type", "quality_rating", "collateral_status"]
 _add("collateral_aggregated", lambda k: _typed(
@@ -278,10 +285,10 @@ _add("quality_score", lambda k: _typed(
     .agg(F.avg(rules.quality_score(F.col("quality_rating"))).alias("quality_score")),
     "fact_collateral_risk"))
 _add("collateral_concentration", lambda k: _typed(
-    facts.collateral_concentration(k.table("silver_collateral")), "fact_collateral_risk"
+    facts.collateral_concentration(k.table("silver_collateral"), _metrics(k)), "fact_collateral_risk"
 ).select(*facts.GRAIN, *_PLEDGED, "concentration_percentage"))
 _add("fact_collateral_risk", lambda k: facts.fact_collateral_risk(
-    k.table("silver_collateral"), k.dims(), _load_time()))
+    k.table("silver_collateral"), _metrics(k), k.dims(), _load_time()))
 
 # ---- checks ---------------------------------------------------------------------------
 
@@ -351,7 +358,7 @@ _add("stable_funding_flag", lambda k: _rule(
 _add("business_key", lambda k: _rule(
     _BALANCES(k), "country",
     account_key_text=rules.business_key(
-        "ACC", F.col("country"), F.substring(F.trim("account_id"), 7, 20).cast("bigint"))))
+        "ACC", F.col("country"), F.substring(F.trim("account_id"), 7, 20).try_cast("bigint"))))
 _add("next_review_date", lambda k: _rule(
     _COLLATERAL(k), "valuation_date", "liquidation_period_days",
     review_date=rules.next_review_date(F.col("valuation_date"), F.col("liquidation_period_days"))))

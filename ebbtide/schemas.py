@@ -258,6 +258,17 @@ GOLD = {
     ),
 }
 
+# The liquidity metrics, stored between silver and gold with every digit of the sums.
+_SUM = T.DecimalType(28, 2)
+METRICS = _table(
+    business_date=DAY, country=TEXT, subsidiary=TEXT, total_balance_eur=_SUM,
+    total_balance_local=_SUM, weighted_outflow_amount=T.DecimalType(37, 6),
+    stable_funding_amount=_SUM, unstable_funding_amount=_SUM, total_hqla_gross_eur=_SUM,
+    total_hqla_eligible_eur=_SUM, hqla_level1_eur=_SUM, hqla_level2a_eur=_SUM,
+    hqla_level2b_eur=_SUM, hqla_unencumbered_eur=_SUM, total_collateral_gross_eur=_SUM,
+    total_collateral_net_eur=_SUM, high_quality_collateral_eur=_SUM, account_count=LONG,
+)
+
 # Primary key of each gold table.
 PRIMARY_KEYS = {
     "dim_date": "date_key",

@@ -2,10 +2,12 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ebbtide.schemas import LANDING
+from ebbtide.schemas import LANDING, TEXT
 
 # Text must come back as it went out, blanks at either end included.
+_LINE = "_line"
 _FORMAT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
@@ -20,19 +22,40 @@ def with_load_timestamp(df: DataFrame, load_time: Column | None = None,
     return df.withColumn(name, F.current_timestamp() if load_time is None else load_time)
 
 
-def scan_landing(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+    # Without column pruning every line is parsed whole, also by counts and reads of few columns.
+    reader = spark.read.schema(schema).options(**_FORMAT, enforceSchema=False, columnPruning=False, **options)
+    return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path)
+
+
+def _whole(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """All lines, with the text of those that do not have the declared columns in `_line`."""
+    schema = T.StructType([*LANDING[dataset], T.StructField(_LINE, TEXT)])
+    return _read(spark, path, schema, mode="PERMISSIVE", columnNameOfCorruptRecord=_LINE)
+
+
+def _is_bad(dataset: str) -> Column:
+    # Spark refuses queries on the line alone, so another column takes part without deciding anything.
+    first = F.col(LANDING[dataset].names[0])
+    return F.col(_LINE).isNotNull() & (F.length(F.coalesce(first, F.lit(""))) >= 0)
+
+
+def scan_landing(spark: SparkSession, path: str, dataset: str, permissive: bool = False) -> DataFrame:
     """All rows of every CSV file below `path`, as text, with their source file.
 
-    The columns are declared, so nothing is inferred; a header that does not
-    match them fails the read instead of shifting columns."""
-    scan = (
-        spark.read.schema(LANDING[dataset])
-        .options(**_FORMAT, enforceSchema=False)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .csv(path)
-    )
-    return with_source_file(scan)
+    The columns are declared, so nothing is inferred.  A header that does not match them
+    fails the read instead of shifting columns, and so does a line with too few or too many
+    fields, unless `permissive`: such lines are then left to `landing_rejects`."""
+    if not permissive:
+        return with_source_file(_read(spark, path, LANDING[dataset], mode="FAILFAST"))
+    rows = with_source_file(_whole(spark, path, dataset))
+    return rows.filter(~_is_bad(dataset)).drop(_LINE)
+
+
+def landing_rejects(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """(source_file, line) of the lines that a permissive scan leaves out."""
+    rows = with_source_file(_whole(spark, path, dataset))
+    return rows.filter(_is_bad(dataset)).select("source_file", F.col(_LINE).alias("line"))
 
 
 def scan_landing_balances(spark: SparkSession, path: str) -> DataFrame:

@@ -1,32 +1,56 @@
 """Stored tables, and the shared folder for intermediate results."""
 
-import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbtide.operators.conform import conform
+
+# The folder of the table that is being built in this thread.
+_work: ContextVar[str | None] = ContextVar("work", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by `spark.checkpoint.dir`.
-
-    Only a local session may go without the setting; it gets a temporary folder."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    """Folder every executor can reach, as named by `spark.checkpoint.dir`."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="ebbtide-")
-    context.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """Path for one new result below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """Path for one new result below the shared folder, or below the work folder in use."""
+    return f"{_work.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _files(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+@contextmanager
+def work_folder(spark: SparkSession) -> Iterator[None]:
+    """Intermediate results of this block go into a folder of their own, which goes with its end,
+    also after a failure.  What is built in the block must be stored in it."""
+    folder = fresh_folder(spark, "work")
+    before = _work.set(folder)
+    try:
+        yield
+    finally:
+        _work.reset(before)
+        files, path = _files(spark, folder)
+        files.delete(path, True)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to `path` and the write ended."""
+    files, marker = _files(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -59,9 +83,18 @@ def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def register_table(spark: SparkSession, name: str, path: str, schema: T.StructType) -> None:
+    """Enter the table stored at `path` in the catalog, with its column comments; nothing is copied."""
+    spark.catalog.createTable(name, path, "parquet", schema)
+
+
 def overwrite_table(df: DataFrame, name: str) -> DataFrame:
-    """Replace the rows of the existing catalog table `name`, keeping its definition."""
-    df.write.insertInto(name, overwrite=True)
+    """Replace the rows of the existing catalog table `name`, keeping its definition.
+
+    Columns are matched by name and cast to the table's types; a missing one fails the
+    write, others are left out."""
+    existing = df.sparkSession.table(name)
+    conform(df, existing.schema).write.insertInto(name, overwrite=True)
     return df.sparkSession.table(name)
 
 

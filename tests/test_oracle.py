@@ -5,6 +5,7 @@ from check_oracle import compare, duck_views
 from conftest import SMALL
 
 import __spark_entry__ as contract
+from ebbtide.plans import registry
 
 SQL = contract.oracle_sql()
 
@@ -14,7 +15,7 @@ def duck():
     return duck_views(SMALL)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query_matches_sql(spark, duck, name):
     assert compare(contract.queries()[name](spark, SMALL), duck, SQL[name]) is None
 
