@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ebbtide.llm import chat, decontamination, fingerprints, line_dedup, mixing, secret_scan, simhash, token_output, toxicity, warc
+from ebbtide.llm import chat, decontamination, fingerprints, line_dedup, mixing, oracle, secret_scan, simhash, token_output, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -21,4 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_decontamination": oracle.DECONTAMINATION,
+    "op9_chat": oracle.CHAT,
+    "op10_warc": oracle.WARC,
+}
