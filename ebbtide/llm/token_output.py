@@ -281,7 +281,7 @@ def encode_blocks(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
             while at < len(doc_ids):  # as many texts as surely do not fill a block twice
                 stop, size = at, 0
                 while stop < len(doc_ids) and (stop == at or size < block_tokens):
-                    size += _size(texts, stop)
+                    size += _size(texts, stop) + 1
                     stop += 1
                 found, n = encoder.encode(texts[at:stop].to_pylist())
                 names += doc_ids[at:stop]
