@@ -87,10 +87,11 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source:
     placed = placed.withColumn("_range", F.floor(share * ranges))
     sums = placed.groupBy("_source", "_range").agg(F.sum("_size").alias("_words"))
     earlier = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(
+    # stored, so that its size decides how it is joined before the rows are dealt
+    starts = store(sums.select(
         F.col("_source").alias("_s"), F.col("_range").alias("_r"),
         F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_range_start"),
-    )
+    ), "mixing-ranges")
     inside = Window.partitionBy("_source", "_range").orderBy("_key", "_id", "_size")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     budget = F.floor(F.col("target"))
