@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -56,6 +57,12 @@ def with_fields(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.Stru
     return T.StructType([*schema.fields, *(T.StructField(n, t) for n, t in fields)])
 
 
+def slices(column: pa.Array, rows: int = 256) -> Iterator[list]:
+    """The values of an Arrow column as Python objects, a few rows at a time."""
+    for k in range(0, len(column), rows):
+        yield column.slice(k, rows).to_pylist()
+
+
 BITMAP_BITS = 24
 
 
@@ -94,7 +101,6 @@ def components(links: DataFrame) -> DataFrame:
     its smallest neighbour, first the larger ones, then the smaller ones, until nothing
     changes.  Stars need a logarithmic number of rounds; each is one aggregation and one
     join on the links, and no neighbour list is gathered in a row."""
-    spark = links.sparkSession
     ordered = F.col("a") != F.col("b")
     edges = store(
         links.where(ordered)
@@ -106,18 +112,16 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where(ordered).distinct()
+        large = large.where(ordered)
         # small star: u and its smaller neighbours are linked to the smallest of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        after = store(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
+        edges = store(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
         # done when every larger end has one link and no smaller end is itself linked lower
-        open_ = after.groupBy("a").count().where("count > 1").select("a").unionByName(
-            after.select("b").join(after.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
-            .select(F.col("b").alias("a"))
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
         )
-        edges = after
-        if open_.isEmpty():
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty():
             break
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

@@ -28,13 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import bitmap, components, known_to_workers, maybe_in, read_table, store
-from ebbtide.llm.fingerprints import mixed, word_hashes
+from ebbtide.llm.common import bitmap, components, known_to_workers, maybe_in, read_table, slices, store
+from ebbtide.llm.fingerprints import BINS, BITS, mixed, of_texts, word_hashes
 
 SHINGLE_WORDS = 3
 SEED = 42
 WORD_SEEDS = (1, 2)
 SIMILARITY = 0.8
+_SLACK = 0.07
 _NO_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _PARTS = [(0, 21), (21, 42), (42, 64)]
 # the bits of each byte value, highest first
@@ -230,18 +231,23 @@ def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: fl
     words: two texts are candidates if one of their fingerprints differs in three bits at most.  They are linked if
     the Jaccard similarity of their five-word shingles is `least` or more, which is computed exactly.
 
-    Candidates are compared in two passes.  First every text with the hub of each ball that it is in, the member that
-    is in most balls; a text with thousands of near copies is that hub.  The second pass compares all candidates whose texts
-    the first has not brought into one class."""
+    Candidates are verified in two passes.  First every text with the hub of each ball that it is in, the member that
+    is in most balls; a text with thousands of near copies is that hub.  The second pass takes all candidates that
+    the first has not brought into one class, and whose MinHash sketches come within `_SLACK` (2.5 standard errors) of the
+    similarity; copies that differ from each other more than from their origin are told apart there, without their texts."""
     spark = texts.sparkSession
     known_to_workers(spark)
 
     @F.arrow_udf("array<bigint>")
     def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        """The fingerprints, then the sketch as numbers of sixteen bins each."""
         for batch in batches:
-            rows, contents = [], batch.cast(pa.binary()).to_pylist()
-            for k in range(0, len(contents), 256):
-                rows += word_fingerprints([t or b"" for t in contents[k : k + 256]], seeds).tolist()
+            rows = []
+            for part in slices(batch.cast(pa.binary()), 64):
+                part = [t or b"" for t in part]
+                low, _ = of_texts(part)
+                sketch = ((low[:, ::2] << 4) | low[:, 1::2]).view(np.int64)
+                rows += np.concatenate([word_fingerprints(part, seeds), sketch], axis=1).tolist()
             yield pa.array(rows, pa.list_(pa.int64()))
 
     nodes = texts.select("hash", prints("text").alias("fps")).groupBy("hash").agg(F.first("fps").alias("fps"))
@@ -268,18 +274,26 @@ def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: fl
     first = _verified(tried, texts, least)
     classes = store(components(first).withColumnRenamed("node", "hash"), "near-classes")
     rest = []
+    # bins of four bits that differ: fold each bin's bits into its lowest and count
+    words = [f"(x_sketch[{i}] ^ y_sketch[{i}])" for i in range(BINS // 16)]
+    folded = [f"({w} | shiftright({w}, 1) | shiftright({w}, 2) | shiftright({w}, 3)) & 1229782938247303441L" for w in words]
+    different = "(" + " + ".join(f"bit_count({f})" for f in folded) + ")"
+    most = int(BINS * (1 - 0.5**BITS) * (1 - least + _SLACK))
     for k in range(len(seeds)):
         keyed = nodes.join(classes, "hash", "left").select(
-            F.col("fps")[k].alias("fp"), "hash", F.coalesce("component", "hash").alias("class")
+            F.col("fps")[k].alias("fp"), "hash", F.coalesce("component", "hash").alias("class"),
+            F.slice("fps", len(seeds) + 1, BINS // 16).alias("sketch"),
         )
         # one variant that all values keep brings equal fingerprints together
-        alone = keyed.select("fp", F.lit(0).cast("tinyint").alias("variant"), F.col("fp").alias("meet"), "hash", "class")
+        alone = keyed.select("fp", F.lit(0).cast("tinyint").alias("variant"), F.col("fp").alias("meet"), "hash", "class", "sketch")
         same = keyed.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
         rows = met[k].join(keyed, "fp").select(alone.columns)
         for one in (rows, alone.join(same, "fp").select(alone.columns)):
-            x = one.where("variant % 3 < 2").select("meet", *[F.col(c).alias(f"x_{c}") for c in ("fp", "hash", "class")])
-            y = one.where("variant % 3 <> 1").select("meet", *[F.col(c).alias(f"y_{c}") for c in ("fp", "hash", "class")])
-            close = x.join(y, "meet").where("x_class <> y_class AND bit_count(x_fp ^ y_fp) <= 3")
+            x = one.where("variant % 3 < 2").select("meet", *[F.col(c).alias(f"x_{c}") for c in ("fp", "hash", "class", "sketch")])
+            y = one.where("variant % 3 <> 1").select("meet", *[F.col(c).alias(f"y_{c}") for c in ("fp", "hash", "class", "sketch")])
+            close = x.join(y, "meet").where(
+                f"x_class <> y_class AND bit_count(x_fp ^ y_fp) <= 3 AND {different} <= {most}"
+            )
             rest.append(close.select(F.col("x_hash").alias("a"), F.col("y_hash").alias("b")))
     second = _verified(ordered(rest).join(tried, ["a", "b"], "left_anti"), texts, least)
     return first.unionByName(second)

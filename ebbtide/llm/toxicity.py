@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import bitmap, known_to_workers, maybe_in, read_table, store
+from ebbtide.llm.common import bitmap, known_to_workers, maybe_in, read_table, slices, store
 
 TRAIN_ROWS = 60_000
 PARTS = {"lexicon": (0, 4), "trees": (4, 8), "calibration": (8, 10)}  # tenths of the sample
@@ -110,7 +110,7 @@ def with_features(docs: DataFrame, text: str, learned: dict[str, float], name: s
     @F.arrow_udf("array<double>")
     def column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([features(t, learned, marked) for t in texts.to_pylist()], pa.list_(pa.float64()))
+            yield pa.array([features(t, learned, marked) for part in slices(texts) for t in part], pa.list_(pa.float64()))
 
     return docs.withColumn(name, column(F.col(text)))
 
@@ -144,7 +144,7 @@ def learned_lexicon(texts: DataFrame, text: str) -> dict[str, float]:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts: dict[str, int] = {}
             for batch in batches:
-                for content in batch.column(0).to_pylist():
+                for content in (t for part in slices(batch.column(0)) for t in part):
                     words = set(words_of(content))
                     for w in words if candidates is None else words & candidates:
                         counts[w] = counts.get(w, 0) + 1
