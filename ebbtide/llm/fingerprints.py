@@ -24,7 +24,7 @@ from ebbtide.llm.common import known_to_workers, read_table
 
 SHINGLE_WORDS = 5
 BINS, BITS = 256, 4
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
