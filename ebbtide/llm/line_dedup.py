@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import bitmap, components, known_to_workers, maybe_in, read_table, store
+from ebbtide.llm.common import bitmap, components, known_to_workers, maybe_in, read_table, slices, store
 
 MOST_EDITS = 2
 LEAST_NEAR = 24
@@ -116,7 +116,8 @@ def _line_rows(docs: DataFrame, text: str, name: str) -> DataFrame:
     @F.arrow_udf("array<bigint>")
     def hashes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([[line_hash(x) for x in lines_of(t)] for t in texts.to_pylist()], pa.list_(pa.int64()))
+            rows = [np.array([line_hash(x) for x in lines_of(t)], np.int64) for part in slices(texts) for t in part]
+            yield pa.array(rows, pa.list_(pa.int64()))
 
     return docs.withColumn(name, hashes(F.col(text))).drop(text)
 
@@ -126,8 +127,8 @@ def _keys(texts: DataFrame, edits: int, least: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
-        for batch in batches:
-            seen = {x for t in batch.column(0).to_pylist() for x in lines_of(t) if len(x) >= least}
+        for part in (part for batch in batches for part in slices(batch.column(0))):
+            seen = {x for t in part for x in lines_of(t) if len(x) >= least}
             keys, names, marks, owns = [], [], [], []
             for x in seen:
                 found = probes(len(x), edits, least)
@@ -139,7 +140,7 @@ def _keys(texts: DataFrame, edits: int, least: int) -> DataFrame:
                 names += [line_hash(x)] * len(found)
                 marks += [signature(x)] * len(found)
                 owns += [own for *_, own in found]
-                if len(keys) > 200_000:
+                if len(keys) > 20_000:
                     yield _record(keys, names, marks, owns)
                     keys, names, marks, owns = [], [], [], []
             yield _record(keys, names, marks, owns)
@@ -158,8 +159,8 @@ def _texts(texts: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """(line, text) of the lines whose hash is in `wanted` (line)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = {x for t in batch.column(0).to_pylist() for x in lines_of(t) if len(x) >= least}
+        for part in (part for batch in batches for part in slices(batch.column(0))):
+            found = {x for t in part for x in lines_of(t) if len(x) >= least}
             yield pa.record_batch([pa.array([line_hash(x) for x in found], pa.int64()), pa.array(list(found), pa.string())], ["line", "text"])
 
     lines = texts.mapInArrow(emit, "line long, text string")
@@ -232,8 +233,8 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     names = docs.columns
     # equal rows that are told apart by nothing get their number from the stored copy
     numbered = store(docs.withColumn("_copy", F.monotonically_increasing_id()), "line-docs")
-    gone = dropped_lines(numbered.select(id_column, "_copy", text), id_column, text, **options).select("_copy", "dropped")
-    kept = F.expr(f"array_join(filter(split(`{text}`, '\\n', -1), (x, i) -> NOT array_contains(dropped, i)), '\\n')")
+    gone = dropped_lines(numbered.select(id_column, "_copy", text), id_column, text, **options).select("_copy", F.col("dropped").alias("_dropped"))
+    kept = F.expr(f"array_join(filter(split(`{text}`, '\\n', -1), (x, i) -> NOT array_contains(_dropped, i)), '\\n')")
     return numbered.join(gone, "_copy").withColumn(text, kept).select(names)
 
 
