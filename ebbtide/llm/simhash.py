@@ -29,13 +29,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import bitmap, components, known_to_workers, maybe_in, read_table, slices, store
-from ebbtide.llm.fingerprints import BINS, BITS, mixed, of_texts, word_hashes
+from ebbtide.llm.fingerprints import mixed, shingle_hashes, word_hashes
 
 SHINGLE_WORDS = 3
 SEED = 42
 WORD_SEEDS = (1, 2)
 SIMILARITY = 0.8
-_SLACK = 0.07
+BANDS, BAND_ROWS = 24, 5
+_SLACK = 0.15
+# odd, one for each MinHash function
+_FACTORS = mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 _NO_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _PARTS = [(0, 21), (21, 42), (42, 64)]
 # the bits of each byte value, highest first
@@ -187,6 +190,35 @@ def word_fingerprints(texts: list[bytes], seeds: Sequence[int]) -> np.ndarray:
     return out.view(np.int64)
 
 
+def least_hashes(texts: list[bytes]) -> np.ndarray:
+    """Of each text (row) the smallest value of its five-word shingles under each of BANDS * BAND_ROWS hash functions
+    (column).  Two texts agree in a column with the probability of their Jaccard similarity, however short they are; texts
+    without words agree in all."""
+    hashes, text = shingle_hashes(texts)
+    out = np.zeros((len(texts), len(_FACTORS)), np.uint64)
+    if len(hashes):
+        first = np.flatnonzero(np.concatenate(([True], np.diff(text) != 0)))
+        for k, factor in enumerate(_FACTORS):
+            out[text[first], k] = np.minimum.reduceat(hashes * factor, first)
+    return out
+
+
+def _bands(least: np.ndarray) -> np.ndarray:
+    """A key for each band of BAND_ROWS columns of `least_hashes`."""
+    rows = least.reshape(len(least), BANDS, BAND_ROWS)
+    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2])
+    for k in range(BAND_ROWS):
+        keys = mixed(keys * np.uint64(0xD6E8FEB86659FD93) + rows[:, :, k])
+    return keys.view(np.int64)
+
+
+def _sketch(least: np.ndarray) -> np.ndarray:
+    """Four bits of each column of `least_hashes`, as numbers of sixteen."""
+    low = (least & np.uint64(15)).astype(np.uint8)
+    low = np.pad(low, ((0, 0), (0, -low.shape[1] % 16)))
+    return ((low[:, ::2] << 4) | low[:, 1::2]).view(np.int64)
+
+
 def _jaccard_at_least(a: str, b: str, least: float) -> bool:
     """Whether the sets of five-word shingles are that similar; texts without words are equal."""
     x, y = (_shingles(t) for t in (a, b))
@@ -227,27 +259,27 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: float = SIMILARITY) -> DataFrame:
     """(a, b): hashes of similar texts, from `texts` (hash, text); the components of the links are the classes.
 
-    A shingle fingerprint moves by three bits only if almost nothing changes, so candidates come from fingerprints of weighted
-    words: two texts are candidates if one of their fingerprints differs in three bits at most.  They are linked if
-    the Jaccard similarity of their five-word shingles is `least` or more, which is computed exactly.
+    A shingle fingerprint moves by three bits only if almost nothing changes, so candidates come from two kinds of keys: two texts are
+    candidates if one of their fingerprints of weighted words differs in three bits at most, or if they agree in all columns of a band
+    of MinHashes.  A pair of similarity J shares a band with probability 1 - (1 - J^BAND_ROWS)^BANDS, 0.99993 at 0.8, at any
+    length.  Candidates are linked if the Jaccard similarity of their five-word shingles is `least` or more, which is computed exactly.
 
-    Candidates are verified in two passes.  First every text with the hub of each ball that it is in, the member that
-    is in most balls; a text with thousands of near copies is that hub.  The second pass takes all candidates that
-    the first has not brought into one class, and whose MinHash sketches come within `_SLACK` (2.5 standard errors) of the
+    Candidates are verified in two passes.  First every text with the hub of each ball or band's key that it is in, the member that
+    shares most with others; a text with thousands of near copies is that hub.  The second pass takes all candidates that
+    the first has not brought into one class, and whose MinHashes come within `_SLACK` (4 standard errors) of the
     similarity; copies that differ from each other more than from their origin are told apart there, without their texts."""
     spark = texts.sparkSession
     known_to_workers(spark)
 
     @F.arrow_udf("array<bigint>")
     def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        """The fingerprints, then the sketch as numbers of sixteen bins each."""
+        """The fingerprints, then the bands' keys, then the sketch."""
         for batch in batches:
             rows = []
             for part in slices(batch.cast(pa.binary()), 64):
                 part = [t or b"" for t in part]
-                low, _ = of_texts(part)
-                sketch = ((low[:, ::2] << 4) | low[:, 1::2]).view(np.int64)
-                rows += np.concatenate([word_fingerprints(part, seeds), sketch], axis=1).tolist()
+                found = least_hashes(part)
+                rows += np.concatenate([word_fingerprints(part, seeds), _bands(found), _sketch(found)], axis=1).tolist()
             yield pa.array(rows, pa.list_(pa.int64()))
 
     nodes = texts.select("hash", prints("text").alias("fps")).groupBy("hash").agg(F.first("fps").alias("fps"))
@@ -266,6 +298,14 @@ def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: fl
         hubs.append(stars.join(held, "fp").join(reps, "hub").select(F.col("rep").alias("a"), F.col("hub_rep").alias("b")))
         hubs.append(keyed.join(held, "fp").where("hash <> rep").select(F.col("hash").alias("a"), F.col("rep").alias("b")))
 
+    banded = nodes.select("hash", F.explode(F.slice("fps", len(seeds) + 1, BANDS)).alias("key"))
+    shared = store(banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-keys")
+    banded = store(banded.join(shared, "key"), "near-banded")
+    weight = banded.groupBy("hash").agg(F.sum("n").alias("weight"))
+    ranked = banded.join(weight, "hash").select("key", F.struct("weight", "hash").alias("rank"))
+    hub = ranked.groupBy("key").agg(F.max("rank").alias("hub"))
+    hubs.append(banded.join(hub, "key").select(F.col("hash").alias("a"), F.col("hub.hash").alias("b")).where("a <> b"))
+
     def ordered(pairs: Sequence[DataFrame]) -> DataFrame:
         every = reduce(DataFrame.unionByName, pairs)
         return every.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -274,15 +314,17 @@ def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: fl
     first = _verified(tried, texts, least)
     classes = store(components(first).withColumnRenamed("node", "hash"), "near-classes")
     rest = []
-    # bins of four bits that differ: fold each bin's bits into its lowest and count
-    words = [f"(x_sketch[{i}] ^ y_sketch[{i}])" for i in range(BINS // 16)]
+    # columns of four bits that differ: fold each one's bits into its lowest and count
+    size = -(-len(_FACTORS) // 16)
+    words = [f"(x_sketch[{i}] ^ y_sketch[{i}])" for i in range(size)]
     folded = [f"({w} | shiftright({w}, 1) | shiftright({w}, 2) | shiftright({w}, 3)) & 1229782938247303441L" for w in words]
     different = "(" + " + ".join(f"bit_count({f})" for f in folded) + ")"
-    most = int(BINS * (1 - 0.5**BITS) * (1 - least + _SLACK))
+    most = int(len(_FACTORS) * (1 - 0.5**4) * (1 - least + _SLACK))
+    sketch = F.slice("fps", len(seeds) + BANDS + 1, size).alias("sketch")
     for k in range(len(seeds)):
         keyed = nodes.join(classes, "hash", "left").select(
             F.col("fps")[k].alias("fp"), "hash", F.coalesce("component", "hash").alias("class"),
-            F.slice("fps", len(seeds) + 1, BINS // 16).alias("sketch"),
+            sketch,
         )
         # one variant that all values keep brings equal fingerprints together
         alone = keyed.select("fp", F.lit(0).cast("tinyint").alias("variant"), F.col("fp").alias("meet"), "hash", "class", "sketch")
@@ -295,6 +337,13 @@ def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: fl
                 f"x_class <> y_class AND bit_count(x_fp ^ y_fp) <= 3 AND {different} <= {most}"
             )
             rest.append(close.select(F.col("x_hash").alias("a"), F.col("y_hash").alias("b")))
+    classed = banded.join(classes, "hash", "left").select("key", "hash", F.coalesce("component", "hash").alias("class"))
+    open_keys = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
+    classed = store(classed.join(open_keys, "key").join(nodes.select("hash", sketch), "hash"), "near-open")
+    x = classed.select("key", *[F.col(c).alias(f"x_{c}") for c in ("hash", "class", "sketch")])
+    y = classed.select("key", *[F.col(c).alias(f"y_{c}") for c in ("hash", "class", "sketch")])
+    close = x.join(y, "key").where(f"x_hash > y_hash AND x_class <> y_class AND {different} <= {most}")
+    rest.append(close.select(F.col("x_hash").alias("a"), F.col("y_hash").alias("b")))
     second = _verified(ordered(rest).join(tried, ["a", "b"], "left_anti"), texts, least)
     return first.unionByName(second)
 

@@ -113,6 +113,48 @@ def test_keep_one_keeps_one_of_each_group(spark):
     assert simhash.keep_one(frame.limit(0)).isEmpty()
 
 
+def shingle_likeness(a, b):
+    x, y = simhash._shingles(a), simhash._shingles(b)
+    return len(x & y) / len(x | y)
+
+
+LENGTHS = [(10, 40), (40, 80), (80, 150), (150, 300), (300, 700)]
+
+
+@pytest.mark.parametrize("length", LENGTHS)
+def test_near_copies_of_every_length_are_found(spark, length):
+    """Random words replaced until the similarity is between 0.80 and 0.95, in every band of similarity."""
+    rng = random.Random(length[0])
+    pairs, wanted = [], collections.Counter()
+    while min(wanted[k] for k in range(3)) < 20:
+        words = [f"v{rng.randrange(3000)}" for _ in range(rng.randrange(*length))]
+        a, b = " ".join(words), near_copies(rng, words, rng.randrange(1, 3 + len(words) // 30))
+        cell = np.digitize(shingle_likeness(a, b), [0.8, 0.84, 0.9, 0.95]) - 1
+        if 0 <= cell < 3 and wanted[cell] < 20:
+            wanted[cell] += 1
+            pairs.append((2 * len(pairs), a, 2 * len(pairs) + 1, b))
+    texts = [(p[k], p[k + 1]) for p in pairs for k in (0, 2)]
+    found = simhash.similar_texts(spark.createDataFrame(texts, "hash long, text string")).collect()
+    assert {(min(r), max(r)) for r in found} == {(p[0], p[2]) for p in pairs}
+
+
+def test_classes_of_a_crowd_are_those_of_all_pairs(spark):
+    """Copies of copies, short and long, that are like some of their group but not like its hub."""
+    rng = random.Random(11)
+    texts = []
+    for size in (30, 60, 200):
+        family = [[f"v{rng.randrange(3000)}" for _ in range(size)]]
+        for _ in range(60):
+            family.append(near_copies(rng, rng.choice(family), rng.randrange(1, max(2, size // 30))).split())
+        texts += [" ".join(f) for f in family]
+    texts = list(dict.fromkeys(texts))
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if simhash._jaccard_at_least(texts[a], texts[b], 0.8)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "hash long, text string")
+    found = components(simhash.similar_texts(frame)).collect()
+    expected = {n: r for n, r in roots(range(len(texts)), near).items() if any(n in p for p in near)}
+    assert {r.node: r.component for r in found} == expected
+
+
 def test_jaccard_is_exact():
     a, b = " ".join(map(str, range(50))), " ".join(map(str, [*range(49), "x"]))
     x, y = simhash._shingles(a), simhash._shingles(b)
