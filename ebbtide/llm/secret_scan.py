@@ -5,10 +5,15 @@ Every base span is a candidate, and so is every other long token of letters and
 counted over the whole corpus by distinct repositories and owners: a value that many of them hold is a widely
 copied example; one that few hold and that looks random is an owner-specific, live-looking credential.
 
+A copied document does not make its values examples: exact and near copies of a text are one holder of a value, which
+stands for one owner and one repository.  Near copies are looked for among the texts of those values alone that are above the limits
+without them.  A text of fewer than `LEAST_WORDS` words has no shingle that would tell a copied document from a
+common snippet, so it counts for each of its owners.
+
 Base spans are always returned.  Tokens without a pattern become spans of kind `owned` if they are live.  Every
 span comes with its verdict.
 
-Values leave the scan as hashes only.  Counts are pre-aggregated by value, repository and owner before the shuffle, so
+Values leave the scan as hashes only.  Counts are pre-aggregated by value, text, repository and owner before the shuffle, so
 an example that a third of all documents hold is counted like any other.
 """
 
@@ -22,10 +27,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import known_to_workers, read_table, store
+from ebbtide.llm.common import components, known_to_workers, read_table, store
+from ebbtide.llm.simhash import similar_texts
 
 KINDS = ("assign", "access", "hex", "owned")
-MOST_OWNERS, MOST_REPOSITORIES = 1, 3
+MOST_OWNERS, MOST_REPOSITORIES = 4, 8
+LEAST_WORDS = 5
 LEAST_LENGTH, LEAST_ENTROPY = 16, 3.0
 PLACEHOLDERS = ("example", "placeholder", "changeme", "your", "xxxx", "test", "dummy", "sample")
 
@@ -40,6 +47,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 
+_WORD = r"[^\x20\x09-\x0D]+"
+
 SPAN = "struct<kind:int, start:int, stop:int, value:bigint, random:boolean>"
 
 
@@ -97,12 +106,39 @@ def candidates(docs: DataFrame, text: str = "text", name: str = "candidates") ->
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(value, owners, repositories) from (value, owner, repository): how many different ones hold each value; null counts
-    as one."""
-    held = found.select("value", "owner", "repository").distinct()
-    owners = held.select("value", "owner").distinct().groupBy("value").agg(F.count("*").alias("owners"))
-    repositories = held.select("value", "repository").distinct().groupBy("value").agg(F.count("*").alias("repositories"))
-    return owners.join(repositories, "value")
+    """(value, owners, repositories) from (value, holder, owner, repository): how many different ones hold each value, where a
+    holder counts for one owner and one repository, those with the fewest holders of the value; null counts as one."""
+
+    def counted(of: str) -> DataFrame:
+        held = found.select("value", "holder", of).distinct()
+        spread = held.groupBy("value", of).agg(F.count("*").alias("n")).withColumnsRenamed({"value": "_value", of: "_of"})
+        ranked = held.join(spread, (F.col("value") == F.col("_value")) & F.col(of).eqNullSafe(F.col("_of")))
+        one = ranked.groupBy("value", "holder").agg(F.min(F.struct("n", of)).alias("at"))
+        return one.select("value", f"at.{of}").distinct().groupBy("value")
+
+    owners = counted("owner").agg(F.count("*").alias("owners"))
+    return owners.join(counted("repository").agg(F.count("*").alias("repositories")), "value")
+
+
+def _ownership_without_copies(held: DataFrame, texts: DataFrame, most_owners: int, most_repositories: int) -> DataFrame:
+    """`ownership` of `held` (value, text_hash, short, owner, repository); `texts` (hash, text) holds all texts."""
+    alone = F.xxhash64("text_hash", F.coalesce("owner", F.lit("")), F.col("owner").isNull(),
+                       F.coalesce("repository", F.lit("")), F.col("repository").isNull())
+    held = store(
+        held.distinct().withColumn("holder", F.when(F.col("short"), alone).otherwise(F.col("text_hash"))), "secret-holders"
+    )
+    counts = store(ownership(held), "secret-counts")
+    above = counts.where((F.col("owners") > most_owners) | (F.col("repositories") > most_repositories))
+    contested = store(held.join(above.select("value"), "value"), "secret-contested")
+    wanted = contested.where("NOT short").select(F.col("text_hash").alias("hash")).distinct()
+    if wanted.isEmpty():
+        return counts
+    near = store(texts.join(wanted, "hash", "left_semi").dropDuplicates(["hash"]), "secret-texts")
+    classes = components(similar_texts(near))
+    merged = contested.join(classes, contested.holder == classes.node, "left").withColumn(
+        "holder", F.coalesce("component", "holder")
+    )
+    return counts.join(above.select("value"), "value", "left_anti").unionByName(ownership(merged))
 
 
 def secrets(docs: DataFrame, id_column: str = "doc_id", text: str = "text", owner: str = "source",
@@ -110,17 +146,22 @@ def secrets(docs: DataFrame, id_column: str = "doc_id", text: str = "text", owne
             most_repositories: int = MOST_REPOSITORIES) -> DataFrame:
     """Per row of `docs`: id and `spans`, an array of (kind, start, stop, verdict) by start, then kind.
 
-    Kinds are numbered as in `KINDS`.  The verdict is "copied" (more owners or repositories than allowed), "live" (few of both and
-    random-looking) or "plain" (few, but not random-looking).  `repository` is the column of that name, or the
+    Kinds are numbered as in `KINDS`.  The verdict is "copied" (more owners or repositories than allowed, copies of a
+    document counted once), "live" (few of both and random-looking) or "plain" (few, but not random-looking).  `repository` is the column of that name, or the
     owner if not given.  Null texts have no spans; null ids, owners and repositories are values like any other;
     repeated rows are each reported and count once for their owner.  Other columns are ignored."""
     rows = docs.select(
         F.col(id_column).alias("id"), F.col(owner).cast("string").alias("owner"),
         F.col(repository or owner).cast("string").alias("repository"), F.col(text).alias("text"),
     )
+    content = F.coalesce("text", F.lit(""))
+    texts = rows.select(F.xxhash64(content).alias("hash"), content.alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64(content)).withColumn("short", F.regexp_count(content, F.lit(_WORD)) < LEAST_WORDS)
     rows = store(candidates(rows).drop("text").withColumn("row", F.monotonically_increasing_id()), "secrets")
-    spans = rows.select("row", "owner", "repository", F.explode("candidates").alias("span"))
-    counted = ownership(spans.select("span.value", "owner", "repository"))
+    spans = rows.select("row", "text_hash", "short", "owner", "repository", F.explode("candidates").alias("span"))
+    counted = _ownership_without_copies(
+        spans.select("span.value", "text_hash", "short", "owner", "repository"), texts, most_owners, most_repositories
+    )
     copied = (F.col("owners") > most_owners) | (F.col("repositories") > most_repositories)
     judged = spans.withColumn("value", F.col("span.value")).join(counted, "value").withColumn(
         "verdict", F.when(copied, "copied").when(F.col("span.random"), "live").otherwise("plain")

@@ -119,6 +119,25 @@ def test_ownership_separates_copies_from_live_values(spark):
     assert secret_scan.secrets(frame.limit(0)).isEmpty()
 
 
+def test_a_live_token_in_a_copied_document_stays_live(spark):
+    """Exact and near copies of one document in many sources are one holder; different documents are as many."""
+    rng = random.Random(4)
+    live, example = "Zq8Xw3Lk0Pv5Rt7Yn2Bm", "Hj4Gf6Ds9Aq1Ws3Ed5Rf"
+    words = [f"v{rng.randrange(3000)}" for _ in range(200)]
+    rows = []
+    for k in range(20):
+        copy = [*words[: 199 - k % 3], f"token = {live}", live]
+        rows.append((k, " ".join(copy), f"source{k}", f"source{k}/en"))
+        other = [f"v{rng.randrange(3000)}" for _ in range(200)]
+        rows.append((100 + k, " ".join([*other, f"token = {example}"]), f"source{k}", f"source{k}/en"))
+        # a mirror holds everything
+        rows.append((200 + k, rows[-1][1], "mirror", "mirror/en"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, repository string")
+    found = {r.doc_id: [(s.kind, s.verdict) for s in r.spans] for r in secret_scan.secrets(frame, repository="repository").collect()}
+    assert all(found[k] == [(0, "live"), (3, "live")] for k in range(20))
+    assert all(found[k + 100] == found[k + 200] == [(0, "copied")] for k in range(20))
+
+
 # ---- fingerprints
 
 def jaccard(a, b):
