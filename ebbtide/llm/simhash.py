@@ -265,9 +265,10 @@ def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: fl
     length.  Candidates are linked if the Jaccard similarity of their five-word shingles is `least` or more, which is computed exactly.
 
     Candidates are verified in two passes.  First every text with the hub of each ball or band's key that it is in, the member that
-    shares most with others; a text with thousands of near copies is that hub.  The second pass takes all candidates that
-    the first has not brought into one class, and whose MinHashes come within `_SLACK` (4 standard errors) of the
-    similarity; copies that differ from each other more than from their origin are told apart there, without their texts."""
+    shares most with others; a text with thousands of near copies is that hub.  The second pass takes all pairs in a band's
+    key that the first has not brought into one class, and whose MinHashes come within `_SLACK` (4 standard errors) of the
+    similarity; copies that differ from each other more than from their origin are told apart there, without their texts.
+    Texts that only a fingerprint brings together meet their hub, but not each other."""
     spark = texts.sparkSession
     known_to_workers(spark)
 
@@ -284,12 +285,11 @@ def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: fl
 
     nodes = texts.select("hash", prints("text").alias("fps")).groupBy("hash").agg(F.first("fps").alias("fps"))
     nodes = store(nodes, "near-nodes")
-    hubs, met = [], []
+    hubs = []
     for k in range(len(seeds)):
         keyed = nodes.select("hash", F.col("fps")[k].alias("fp"))
         held = keyed.groupBy("fp").agg(F.min("hash").alias("rep"))
-        met.append(store(_met(held, "fp"), "near-met"))
-        balls = store(_balls(met[k]).select("centre", "fp").distinct(), "near-balls")
+        balls = store(_balls(store(_met(held, "fp"), "near-met")).select("centre", "fp").distinct(), "near-balls")
         degree = balls.groupBy("fp").agg(F.count("*").alias("degree"))
         ranked = balls.join(degree, "fp").select("centre", "fp", F.struct("degree", "fp").alias("rank"))
         hub = ranked.groupBy("centre").agg(F.max("rank").alias("hub"))
@@ -313,7 +313,6 @@ def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: fl
     tried = store(ordered(hubs), "near-tried")
     first = _verified(tried, texts, least)
     classes = store(components(first).withColumnRenamed("node", "hash"), "near-classes")
-    rest = []
     # columns of four bits that differ: fold each one's bits into its lowest and count
     size = -(-len(_FACTORS) // 16)
     words = [f"(x_sketch[{i}] ^ y_sketch[{i}])" for i in range(size)]
@@ -321,30 +320,14 @@ def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: fl
     different = "(" + " + ".join(f"bit_count({f})" for f in folded) + ")"
     most = int(len(_FACTORS) * (1 - 0.5**4) * (1 - least + _SLACK))
     sketch = F.slice("fps", len(seeds) + BANDS + 1, size).alias("sketch")
-    for k in range(len(seeds)):
-        keyed = nodes.join(classes, "hash", "left").select(
-            F.col("fps")[k].alias("fp"), "hash", F.coalesce("component", "hash").alias("class"),
-            sketch,
-        )
-        # one variant that all values keep brings equal fingerprints together
-        alone = keyed.select("fp", F.lit(0).cast("tinyint").alias("variant"), F.col("fp").alias("meet"), "hash", "class", "sketch")
-        same = keyed.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
-        rows = met[k].join(keyed, "fp").select(alone.columns)
-        for one in (rows, alone.join(same, "fp").select(alone.columns)):
-            x = one.where("variant % 3 < 2").select("meet", *[F.col(c).alias(f"x_{c}") for c in ("fp", "hash", "class", "sketch")])
-            y = one.where("variant % 3 <> 1").select("meet", *[F.col(c).alias(f"y_{c}") for c in ("fp", "hash", "class", "sketch")])
-            close = x.join(y, "meet").where(
-                f"x_class <> y_class AND bit_count(x_fp ^ y_fp) <= 3 AND {different} <= {most}"
-            )
-            rest.append(close.select(F.col("x_hash").alias("a"), F.col("y_hash").alias("b")))
     classed = banded.join(classes, "hash", "left").select("key", "hash", F.coalesce("component", "hash").alias("class"))
     open_keys = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
     classed = store(classed.join(open_keys, "key").join(nodes.select("hash", sketch), "hash"), "near-open")
     x = classed.select("key", *[F.col(c).alias(f"x_{c}") for c in ("hash", "class", "sketch")])
     y = classed.select("key", *[F.col(c).alias(f"y_{c}") for c in ("hash", "class", "sketch")])
     close = x.join(y, "key").where(f"x_hash > y_hash AND x_class <> y_class AND {different} <= {most}")
-    rest.append(close.select(F.col("x_hash").alias("a"), F.col("y_hash").alias("b")))
-    second = _verified(ordered(rest).join(tried, ["a", "b"], "left_anti"), texts, least)
+    rest = close.select(F.col("x_hash").alias("a"), F.col("y_hash").alias("b"))
+    second = _verified(ordered([rest]).join(tried, ["a", "b"], "left_anti"), texts, least)
     return first.unionByName(second)
 
 

@@ -155,6 +155,25 @@ def test_classes_of_a_crowd_are_those_of_all_pairs(spark):
     assert {r.node: r.component for r in found} == expected
 
 
+def test_unlike_texts_of_one_fingerprint_do_not_meet_each_other(spark, monkeypatch):
+    """Orders of the same words have the same word fingerprints: each meets the hub, and no pass joins their pairs."""
+    rng = random.Random(6)
+    words = [f"v{k}" for k in range(100)]
+    texts = [(k, " ".join(rng.sample(words, 100))) for k in range(80)]
+    pairs, stored = [], simhash.store
+
+    def noted(df, label, *options):
+        if label == "near-pairs":
+            pairs.append((df.count(), df._jdf.queryExecution().analyzed().toString()))
+        return stored(df, label, *options)
+
+    monkeypatch.setattr(simhash, "store", noted)
+    assert simhash.similar_texts(spark.createDataFrame(texts, "hash long, text string")).isEmpty()
+    (first, _), (second, plan) = pairs
+    assert first == 79 and second == 0
+    assert "meet#" not in plan and "key#" in plan
+
+
 def test_jaccard_is_exact():
     a, b = " ".join(map(str, range(50))), " ".join(map(str, [*range(49), "x"]))
     x, y = simhash._shingles(a), simhash._shingles(b)
