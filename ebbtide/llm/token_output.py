@@ -19,18 +19,18 @@ are smaller symbols.  `lengths` let a reader find the symbols that cover any ran
 without expanding what comes before (`decode`).
 
 Re-Pair in rounds: count the adjacent pairs of the block, turn the most frequent ones into
-nonterminals, replace them from left to right, repeat.  A round makes many rules at once and no
-pair spans two documents.
+nonterminals, replace them from left to right, repeat until no pair stands `LEAST_COUNT` times.  A round makes many
+rules at once and no pair spans two documents.
 
-Encoding splits a text at ASCII white space and asks the tokenizer once for each different word
-of a task, as no token of this vocabulary spans white space; a cache of bounded size keeps the
-answers for the next batches.  Results are those of encoding whole texts (tested).
+Encoding splits a text at ASCII white space and asks the tokenizer once for each different word, as no token of this vocabulary
+spans white space; a cache of bounded size keeps the answers for frequent words.  Results are those of encoding whole
+texts (tested).  A vocabulary with another normaliser or pre-tokeniser gets whole texts.
 """
 
-import re
+import json
+import os
 import struct
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,16 +40,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import known_to_workers, read_table, store
+from ebbtide.llm.fingerprints import mixed
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-BLOCK_TOKENS = 1 << 20
-ROUNDS, RULES_A_ROUND, LEAST_COUNT = 8, 512, 8
+BLOCK_TOKENS, BATCH_BYTES = 1 << 20, 1 << 20
+RULES_A_ROUND, LEAST_COUNT, SHORT = 4096, 8, 64
 CACHED_WORDS = 300_000
 _BINS = 18
-_FINAL = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n])")  # a token of its own
+# a stop or comma between these bytes is a token of its own
+_BEFORE, _AFTER = (np.isin(np.arange(256), [*of]) for of in (b"abcdefghijklmnopqrstuvwxyz0123456789", b" \n"))
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_USUAL_BYTES = 1 << 21
 _END = b" "  # stands for the end of a document; no word holds a space
 _HEADER = struct.Struct("<4s7I")
+# fixed values: the normaliser and the pre-tokeniser whose tokens never span white space
+_RELIED_ON = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
 
 BLOCKS = "shard int, block int, n_tokens long, doc_ids array<long>, blob binary"
 TOKENS = "shard int, block int, doc_id long, start_in_block long, n_tokens long, ids_crc32 long"
@@ -69,31 +86,100 @@ def _byte_letters() -> str:
     return "".join(chr(b if b in printable else next(others)) for b in range(256))
 
 
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of the texts, and start, end and text of each word therein.  Words stand between ASCII white space; a
+    final stop or comma is one of its own."""
+    joined = np.frombuffer(b"\n".join([b"", *texts, b"", b""]), np.uint8)
+    space = _SPACE[joined]
+    final = np.zeros(len(joined), bool)
+    at = np.flatnonzero((joined == 44) | (joined == 46))
+    final[at[_BEFORE[joined[at - 1]] & _AFTER[joined[at + 1]]]] = True
+    starts = np.flatnonzero(~space[1:] & (space[:-1] | final[1:])) + 1
+    ends = np.flatnonzero(~space[:-1] & (space[1:] | final[1:])) + 1
+    bounds = np.cumsum([len(t) + 1 for t in texts]) + 1
+    return joined, starts, ends, np.searchsorted(bounds, starts, "right")
+
+
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of an odd number and of its inverse, modulo 2^64; kept for a batch of usual size."""
+    if len(_powers[0]) >= n:
+        return _powers[0], _powers[1]
+    made = []
+    for base in (_BASE, _INVERSE):
+        factors = np.full(max(n, _USUAL_BYTES), base)
+        factors[0] = 1
+        made.append(np.multiply.accumulate(factors))
+    if n <= _USUAL_BYTES:
+        _powers[:] = made
+    return made[0], made[1]
+
+
+def _distinct(joined: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different word, and the number of its word for every place.  Words are told apart by a 64-bit hash
+    and then compared byte by byte with the word they are taken for; the few that differ count as words of their own."""
+    power, inverse = _power(len(joined))
+    sums = np.zeros(len(joined) + 1, np.uint64)
+    np.cumsum((joined + np.uint64(1)) * power[: len(joined)], out=sums[1:])
+    hashes = mixed((sums[ends] - sums[starts]) * inverse[starts])
+    _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+    lengths = ends - starts
+    alike = lengths == lengths[first[word]]
+    other = np.flatnonzero(alike & (first[word] != np.arange(len(word))))
+    n = lengths[other]
+    differs = gather(joined, starts[other], n) != gather(joined, starts[first[word[other]]], n)
+    alike[other[np.repeat(np.arange(len(other)), n)[differs]]] = False
+    apart = np.flatnonzero(~alike)
+    word[apart] = len(first) + np.arange(len(apart))
+    return np.concatenate([first, apart]), word
+
+
 class WordEncoder:
-    """Encodes texts word by word with one tokenizer, remembering words."""
+    """Encodes texts word by word with one tokenizer, remembering words.
 
-    def __init__(self, path: str, end_id: int = END_ID, cached: int = CACHED_WORDS):
-        from tokenizers import Tokenizer
+    Beyond `cached` words those that were met least often since the last time are forgotten, half of them at least.  A
+    tokenizer whose normaliser and pre-tokeniser are not those that words rely on gets whole texts instead."""
 
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, path: str, end_id: int = END_ID, cached: int = CACHED_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            made = json.load(file)
+        self.by_words = all(made.get(k) == v for k, v in _RELIED_ON.items()) and made["model"].get("end_of_word_suffix") == "</w>"
+        # for words that are one pre-token, already normalised and in the letters of the vocabulary
+        self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.letters = _byte_letters()
         self.end_id, self.cached = end_id, cached
-        self.clear()
-
-    def clear(self) -> None:
-        self.codes = {_END: 0}
-        self.ids = array("I", [self.end_id])  # of all words, one after the other
-        self.starts, self.lengths = array("q", [0]), array("q", [1])
-
-    def _add(self, word: bytes, ids: Iterable[int]) -> None:
-        self.codes[word] = len(self.starts)
-        self.starts.append(len(self.ids))
-        self.lengths.append(len(ids))
-        self.ids.extend(ids)
-
-    def _ids(self, word: bytes) -> array:
-        code = self.codes[word]
-        return self.ids[self.starts[code] : self.starts[code] + self.lengths[code]]
+        self.codes: dict[bytes, int] = {_END: 0}
+        self.ids = np.array([end_id], np.uint32)  # of all words, one after the other
+        self.lengths = np.ones(1, np.int64)
+        self.uses = np.ones(1, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the words that were met most often, at most half of `cached`."""
+        half = self.cached // 2
+        least = max(2, int(np.partition(self.uses, -half)[-half]) + 1)
+        keep = np.flatnonzero(self.uses >= least)
+        keep = np.union1d(keep, [0])
+        words = list(self.codes)
+        starts = (np.cumsum(self.lengths) - self.lengths)[keep]
+        self.lengths = self.lengths[keep]
+        self.ids = gather(self.ids, starts, self.lengths)
+        self.codes = {words[k]: i for i, k in enumerate(keep.tolist())}
+        self.uses = np.zeros(len(keep), np.int64)
+
+    def _add(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.codes.update(zip(words, range(len(self.lengths), len(self.lengths) + len(words))))
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint32, copy=False)])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
 
     def _learn(self, words: set[bytes]) -> None:
         tails = {}  # a letter before a final stop or comma ends a token
@@ -101,49 +187,63 @@ class WordEncoder:
             if word[-1:] in (b".", b",") and (before := word[:-1]) and before.decode()[-1].lower()[-1].isalpha():
                 tails[word] = before
         whole = {*tails.values()} | {w[-1:] for w in tails} | (words - tails.keys())
-        rest = [w for w in whole if w not in self.codes]
-        plain, tokenize, other = self.letters, self.tokenizer.model.tokenize, []
-        for word in rest:
-            text = word.decode()
-            # letters of Latin-1 are normalised by lower-casing alone and make one pre-token
+        letters, plain, spelled, other = self.letters, [], [], []
+        for word in (w for w in whole if w not in self.codes):
+            # ASCII letters, and letters of Latin-1, are normalised by lower-casing alone and make one pre-token
             if word.isalpha():
-                self._add(word, [t.id for t in tokenize(text.lower())])
-            elif text.isalpha() and max(text) <= "ÿ":
-                self._add(word, [t.id for t in tokenize("".join([plain[b] for b in text.lower().encode()]))])
+                plain.append(word)
+                spelled.append(word.lower().decode())
+            elif (text := word.decode()).isalpha() and max(text) <= "ÿ":
+                plain.append(word)
+                spelled.append("".join([letters[b] for b in text.lower().encode()]))
             else:
                 other.append(word)
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
-        for word, found in zip(other, encoded):
-            self._add(word, found.ids)
-        for word, before in tails.items():
-            self._add(word, self._ids(before) + self._ids(word[-1:]))
+        found = self.plain.encode_batch_fast(
+            [" ".join(spelled[k : k + 500]) for k in range(0, len(spelled), 500)], add_special_tokens=False
+        )
+        ids = np.array([i for f in found for i in f.ids], np.int64)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) == len(plain):
+            self._add(plain, ids, np.diff(ends, prepend=0))
+        else:
+            other += plain
+        found = [f.ids for f in self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)]
+        self._add(other, np.array([i for f in found for i in f], np.int64), np.array([len(f) for f in found], np.int64))
+        if tails:
+            parts = np.array([self.codes[p] for word, before in tails.items() for p in (before, word[-1:])], np.int64)
+            n = self.lengths[parts]
+            ids = gather(self.ids, (np.cumsum(self.lengths) - self.lengths)[parts], n)
+            self._add([*tails], ids, n[::2] + n[1::2])
 
     def encode(self, texts: Iterable[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id, and how many each has.  Null is empty."""
+        texts = [t or b"" for t in texts]
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if not self.by_words:
+            found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+            ids = [np.array([*f.ids, self.end_id], np.uint32) for f in found]
+            return np.concatenate(ids), np.array([len(i) for i in ids], np.int64)
         if len(self.codes) > self.cached:
-            self.clear()
-        words: list[bytes] = []
-        words_of = []
-        for text in texts:
-            text = text or b""
-            more = _FINAL.sub(rb" \1", text if b"<|" in text else text.lower()).split()
-            words += more
-            words.append(_END)
-            words_of.append(len(more) + 1)
-        codes = list(map(self.codes.get, words))
-        new = [i for i, c in enumerate(codes) if c is None]
+            self._forget()
+        # the strings of special tokens stand for themselves in lower case only
+        joined, starts, ends, text = _words([t if b"<|" in t else t.lower() for t in texts])
+        first, word = _distinct(joined, starts, ends)
+        content = joined.tobytes()
+        words = [content[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        new = {w for w in words if w not in self.codes}
         if new:
-            self._learn({words[i] for i in new})
-            for i in new:
-                codes[i] = self.codes[words[i]]
-        if not words_of:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        picked = np.array(codes, np.int64)
-        lengths = np.frombuffer(self.lengths, np.int64)[picked]
-        starts = np.frombuffer(self.starts, np.int64)[picked]
-        ids = gather(np.frombuffer(self.ids, np.uint32), starts, lengths)
-        first = np.concatenate(([0], np.cumsum(words_of)[:-1]))
-        return ids, np.add.reduceat(lengths, first)
+            self._learn(new)
+        codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))[word]
+        self.uses += np.bincount(codes, minlength=len(self.uses))
+        # every text's words, then the end
+        words_of = np.bincount(text, minlength=len(texts))
+        picked = np.zeros(len(codes) + len(texts), np.int64)
+        picked[np.arange(len(codes)) + text] = codes
+        lengths = self.lengths[picked]
+        ids = gather(self.ids, (np.cumsum(self.lengths) - self.lengths)[picked], lengths)
+        place = np.cumsum(words_of + 1)
+        return ids, np.add.reduceat(lengths, place - words_of - 1)
 
 
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -156,57 +256,79 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 def compress(ids: np.ndarray, counts: np.ndarray) -> bytes:
     """The blob of one block: `ids` of all its documents, `counts` of each (1 at least)."""
     used = np.flatnonzero(np.bincount(ids)) if len(ids) else np.zeros(0, np.int64)
-    wide = len(used) + ROUNDS * RULES_A_ROUND > 1 << 16
-    kind, pair = (np.uint32, np.uint64) if wide else (np.uint16, np.uint32)
-    shift, mix = pair(32 if wide else 16), pair(0x9E3779B97F4A7C15 if wide else 0x9E3779B1)
-    bin_of = pair((64 if wide else 32) - _BINS)
-    local = np.zeros(int(used[-1]) + 1 if len(used) else 0, kind)
-    local[used] = np.arange(len(used), dtype=kind)
+    local = np.zeros(int(used[-1]) + 1 if len(used) else 0, np.uint32)
+    local[used] = np.arange(len(used), dtype=np.uint32)
     symbols = local[ids]
     last = np.zeros(len(symbols), bool)  # a document ends here
     last[np.cumsum(counts) - 1] = True
-    rules, lengths = [], [np.ones(len(used), np.uint32)]
-    size = len(used)
-    for _ in range(ROUNDS):
-        keys = (symbols[:-1].astype(pair) << shift) | symbols[1:]
-        bins = ((keys * mix) >> bin_of).astype(np.intp)
-        bins[last[:-1]] = 1 << _BINS  # a bin for pairs that span documents
-        counted = np.bincount(bins, minlength=(1 << _BINS) + 1)
-        counted[-1] = 0
-        floor = max(LEAST_COUNT, np.partition(counted, -RULES_A_ROUND)[-RULES_A_ROUND])
-        at = np.flatnonzero((counted >= floor)[bins])
-        pairs, n = np.unique(keys[at], return_counts=True)
-        best = np.flatnonzero(n >= LEAST_COUNT)
-        best = np.sort(best[np.argsort(-n[best], kind="stable")[:RULES_A_ROUND]])
-        if not len(best):
+    rules, lengths = [np.zeros((0, 2), np.int64)], np.ones(len(used), np.int64)
+    # the places of pairs that may still be frequent: no pair of old symbols becomes more frequent
+    active = np.flatnonzero(~last).astype(np.int32)
+    of_bin = np.zeros(1 << _BINS, np.int64)
+    while len(active):
+        keys = _pairs(symbols, active)
+        bins = _bins(keys)
+        counted = np.bincount(bins, minlength=1 << _BINS)
+        full = counted[counted >= LEAST_COUNT]
+        floor = np.partition(full, -RULES_A_ROUND)[-RULES_A_ROUND] if len(full) > RULES_A_ROUND else LEAST_COUNT
+        hot = (counted >= floor)[bins]
+        places, keys, active, bins = active[hot], keys[hot], active[(counted >= LEAST_COUNT)[bins]], bins[hot]
+        pairs = _frequent(keys)
+        if not len(pairs) and floor > LEAST_COUNT:  # bins that only look full; all pairs then
+            places, keys = active, _pairs(symbols, active)
+            bins, pairs = _bins(keys), _frequent(keys)
+        if not len(pairs):
             break
-        pairs = pairs[best]
-        rule = np.searchsorted(pairs, keys[at])
-        hit = pairs[np.minimum(rule, len(pairs) - 1)] == keys[at]
-        at, rule = at[hit], rule[hit]
+        pair_bins = _bins(pairs)
+        of_bin[pair_bins] = np.arange(len(pairs))
+        served = of_bin[pair_bins] == np.arange(len(pairs))  # a bin serves one pair a round
+        pairs = pairs[served]
+        of_bin[pair_bins[served]] = np.arange(len(pairs))
+        rule = np.minimum(of_bin[bins], len(pairs) - 1)
+        hit = pairs[rule] == keys
+        at, rule = places[hit], rule[hit]
         # of overlapping pairs, every other one from the left
         run = np.concatenate(([True], np.diff(at) != 1))
-        offset = np.arange(len(at)) - np.flatnonzero(run)[np.cumsum(run) - 1]
-        at, rule = at[offset % 2 == 0], rule[offset % 2 == 0]
-        sides = np.stack([pairs >> shift, pairs & pair((1 << int(shift)) - 1)], axis=1).astype(kind)
-        every = np.concatenate(lengths)
-        lengths.append((every[sides[:, 0]] + every[sides[:, 1]]).astype(np.uint32))
-        rules.append(sides)
-        symbols[at] = (size + rule).astype(kind)
+        odd = (np.arange(len(at)) - np.flatnonzero(run)[np.cumsum(run) - 1]) % 2 == 1
+        at, rule = at[~odd], rule[~odd]
+        symbols[at] = len(lengths) + rule
         last[at] = last[at + 1]
-        keep = np.ones(len(symbols), bool)
+        keep, near, new = np.ones(len(symbols), bool), np.zeros(len(symbols), bool), np.zeros(len(symbols), bool)
         keep[at + 1] = False
-        symbols, last = symbols[keep], last[keep]
-        size += len(pairs)
-    firsts = np.concatenate(([0], np.flatnonzero(last)[:-1] + 1)).astype(np.uint32) if len(counts) else np.zeros(0, np.uint32)
-    grammar = np.concatenate(rules) if rules else np.zeros((0, 2), kind)
-    header = _HEADER.pack(b"RPG1", len(used), len(grammar), len(symbols), len(counts), kind().itemsize, 0, 0)
-    arrays = (used.astype(np.uint32), grammar, np.concatenate([*lengths[1:], np.zeros(0, np.uint32)]), firsts, symbols)
+        near[active] = new[at] = True
+        symbols, last, near, new = symbols[keep], last[keep], near[keep], new[keep]
+        near |= new
+        near[:-1] |= new[1:]
+        active = np.flatnonzero(near & ~last).astype(np.int32)
+        sides = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int64)
+        rules.append(sides)
+        lengths = np.concatenate([lengths, lengths[sides[:, 0]] + lengths[sides[:, 1]]])
+    firsts = np.concatenate(([0], np.flatnonzero(last)[:-1] + 1)) if len(counts) else np.zeros(0, np.int64)
+    grammar = np.concatenate(rules)
+    kind = np.dtype(np.uint32 if len(lengths) > 1 << 16 else np.uint16)
+    header = _HEADER.pack(b"RPG1", len(used), len(grammar), len(symbols), len(counts), kind.itemsize, 0, 0)
+    arrays = (used.astype(np.uint32), grammar.astype(kind), lengths[len(used) :].astype(np.uint32), firsts.astype(np.uint32), symbols.astype(kind))
     return header + b"".join(a.tobytes() for a in arrays)
 
 
+def _pairs(symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (symbols[places].astype(np.uint64) << np.uint64(32)) | symbols[places + 1]
+
+
+def _bins(keys: np.ndarray) -> np.ndarray:
+    return ((keys * _BASE) >> np.uint64(64 - _BINS)).astype(np.intp)
+
+
+def _frequent(keys: np.ndarray) -> np.ndarray:
+    """The `RULES_A_ROUND` most frequent keys that stand `LEAST_COUNT` times at least, ascending."""
+    pairs, n = np.unique(keys, return_counts=True)
+    best = np.flatnonzero(n >= LEAST_COUNT)
+    return pairs[np.sort(best[np.argsort(-n[best], kind="stable")[:RULES_A_ROUND]])]
+
+
 class Block:
-    """A stored block, opened for reading."""
+    """A stored block, opened for reading.  Only expansions of at most `SHORT` ids are kept; longer symbols are
+    opened when they are read."""
 
     def __init__(self, blob: bytes):
         magic, terminals, rules, symbols, docs, width, _, _ = _HEADER.unpack_from(blob)
@@ -221,19 +343,24 @@ class Block:
             return values
 
         self.terminals = take(terminals, np.uint32)
-        self.rules = take(2 * rules, kind).reshape(-1, 2)
+        self.rules = take(2 * rules, kind).reshape(-1, 2).astype(np.int64)
         lengths = take(rules, np.uint32)
         self.firsts = take(docs, np.uint32)
         self.symbols = take(symbols, kind)
         self.lengths = np.concatenate([np.ones(terminals, np.int64), lengths.astype(np.int64)])
-        self.offsets = np.concatenate(([0], np.cumsum(self.lengths)))
-        #: expansions of all symbols, one after the other
+        kept = np.where(self.lengths <= SHORT, self.lengths, 0)
+        self.offsets = np.concatenate(([0], np.cumsum(kept)))
+        #: short expansions, one after the other
         self.flat = np.zeros(self.offsets[-1], np.uint32)
         self.flat[:terminals] = self.terminals
-        for r, (a, b) in enumerate(self.rules.tolist(), terminals):
-            start, middle = self.offsets[r], self.offsets[r] + self.lengths[a]
-            self.flat[start:middle] = self.flat[self.offsets[a] : self.offsets[a + 1]]
-            self.flat[middle : self.offsets[r + 1]] = self.flat[self.offsets[b] : self.offsets[b + 1]]
+        highest, start = self.rules.max(axis=1, initial=0), 0
+        while start < rules:  # as many rules as need no other of them
+            known = highest[start:] < terminals + start
+            stop = rules if known.all() else start + int(np.argmin(known))
+            short = kept[terminals + start : terminals + stop] > 0
+            sides = self.rules[start:stop][short].ravel()
+            self.flat[self.offsets[terminals + start] : self.offsets[terminals + stop]] = gather(self.flat, self.offsets[sides], kept[sides])
+            start = stop
         #: the first id of each symbol, and the end
         self.starts = np.concatenate(([0], np.cumsum(self.lengths[self.symbols])))
 
@@ -244,9 +371,20 @@ class Block:
             return np.zeros(0, np.uint32)
         first = np.searchsorted(self.starts, start, "right") - 1
         end = np.searchsorted(self.starts, stop, "left")
-        part = self.symbols[first:end]
+        part = self.symbols[first:end].astype(np.int64)
+        begin = int(self.starts[first])
+        while (long := self.lengths[part] > SHORT).any():
+            places = np.repeat(np.arange(len(part)), np.where(long, 2, 1))
+            second = np.concatenate(([False], places[1:] == places[:-1]))
+            opened = part[places]
+            opens = long[places]
+            opened[opens] = self.rules[opened[opens] - len(self.terminals), second[opens].astype(np.intp)]
+            # what lies before or behind the range is left out
+            begins = begin + np.cumsum(self.lengths[opened]) - self.lengths[opened]
+            inside = (begins < stop) & (begins + self.lengths[opened] > start)
+            part, begin = opened[inside], int(begins[inside][0])
         out = gather(self.flat, self.offsets[part], self.lengths[part])
-        return out[start - self.starts[first] : stop - self.starts[first]]
+        return out[start - begin : stop - begin]
 
     def documents(self) -> np.ndarray:
         """The first id of each document, and the end."""
@@ -267,33 +405,34 @@ def encode_blocks(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get((path, end_id)) or _encoders.setdefault((path, end_id), WordEncoder(path, end_id))
         shard, block = TaskContext.get().partitionId(), 0
-        names, ids, counts, held = [], [], [], 0
+        names, ids, counts = [], np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
-        def record() -> pa.RecordBatch:
-            columns = [[shard], [block], [held], [names], [compress(np.concatenate(ids), np.concatenate(counts))]]
+        def record(n: int) -> pa.RecordBatch:
+            """The block of the first n documents, which leave the buffers."""
+            nonlocal names, ids, counts, block
+            held = int(counts[:n].sum())
+            columns = [[shard], [block], [held], [names[:n]], [compress(ids[:held], counts[:n])]]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+            names, ids, counts, block = names[n:], ids[held:], counts[n:], block + 1
             return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)],
                                    ["shard", "block", "n_tokens", "doc_ids", "blob"])
 
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
             at = 0
-            while at < len(doc_ids):  # as many texts as surely do not fill a block twice
+            while at < len(doc_ids):
                 stop, size = at, 0
-                while stop < len(doc_ids) and (stop == at or size < block_tokens):
+                while stop < len(doc_ids) and (stop == at or size < BATCH_BYTES):
                     size += _size(texts, stop) + 1
                     stop += 1
                 found, n = encoder.encode(texts[at:stop].to_pylist())
                 names += doc_ids[at:stop]
-                ids.append(found)
-                counts.append(n)
-                held += int(n.sum())
+                ids, counts = np.concatenate([ids, found]), np.concatenate([counts, n])
                 at = stop
-                if held >= block_tokens:
-                    yield record()
-                    names, ids, counts, held, block = [], [], [], 0, block + 1
+                while len(ids) >= block_tokens:
+                    yield record(int(np.searchsorted(np.cumsum(counts), block_tokens)) + 1)
         if names:
-            yield record()
+            yield record(len(names))
 
     keyed = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text).alias("_text"))
     ordered = keyed.repartitionByRange(F.col("_id").asc_nulls_first()).sortWithinPartitions(
@@ -351,4 +490,6 @@ def write_and_read(docs: DataFrame, id_column: str = "doc_id", text: str = "text
 
 
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`write_and_read` of all documents.  A null or empty text has the end id alone; documents without id come first, repeated
+    rows are documents of their own, in the order of their texts' hashes; other columns take no part; no rows give none."""
     return write_and_read(read_table(spark, sf_dir, "documents"))
