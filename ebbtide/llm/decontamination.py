@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.llm.common import known_to_workers, read_table, store
+from ebbtide.llm.common import known_to_workers, read_table, slices, store
 
 WINDOW = 10
-SHARD_WORDS = 1 << 21
-BLOCK_WORDS = 4_000_000
+SHARD_WORDS = 1 << 18
+BLOCK_WORDS = 200_000
+PIECE_BYTES = 1 << 20
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_GAP = re.compile(rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
 
 MATCH = T.StructType([
     T.StructField("item_id", T.StringType()),
@@ -46,6 +48,18 @@ def words_of(text: bytes | None) -> list[bytes]:
     return _WORD.findall((text or b"").lower())
 
 
+def word_numbers(text: bytes | None, numbers: dict[bytes, int]) -> np.ndarray:
+    """The numbers of a text's words, 0 for those without; a long text is read in pieces that end between words."""
+    low, at, parts = (text or b"").lower(), 0, [np.zeros(0, np.int32)]
+    while at < len(low):
+        gap = _GAP.search(low, at + PIECE_BYTES) if len(low) - at > PIECE_BYTES else None
+        stop = gap.end() if gap else len(low)
+        words = _WORD.findall(low, at, stop)
+        parts.append(np.fromiter((numbers.get(w, 0) for w in words), np.int32, len(words)))
+        at = stop
+    return np.concatenate(parts)
+
+
 class Windows:
     """The windows of one block of items, by length, as rows of word numbers."""
 
@@ -100,14 +114,13 @@ class Windows:
                 found.append(np.stack([hits, at[which, 0], at[which, 1], np.full(len(hits), length)]))
         return tuple(np.concatenate(found, axis=1))
 
-    def search(self, texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], list[tuple]]]:
-        """Of each text's words: the hit ranges (start, stop), and the longest match with each item
+    def search(self, texts: list[np.ndarray]) -> list[tuple[list[tuple[int, int]], list[tuple]]]:
+        """Of each text's word numbers: the hit ranges (start, stop), and the longest match with each item
         whose windows occur, as (item id, start in the item, start in the text, words); of equally long ones
         the first in the text, then in the item."""
         sizes = np.array([len(t) + 1 for t in texts], np.int64)
         first = np.cumsum(sizes) - sizes
-        known = self.codes.get
-        words = np.array([c for t in texts for c in (*[known(w, 0) for w in t], 0)], np.int64)
+        words = np.concatenate([part for t in texts for part in (t, np.zeros(1, np.int32))])
         place, item, start, length = self.occurrences(words)
         out = [([], []) for _ in texts]
         if not len(place):
@@ -201,12 +214,12 @@ def _search(items, window: int, shard_words: int):
             contents, earlier = texts.cast(pa.binary()), before.to_pylist()
             found, shard, held = [], [], 0
             sizes = []
-            for i in range(len(contents)):
-                words = words_of(contents[i].as_py())
+            for content in (t for part in slices(contents, 64) for t in part):
+                words = word_numbers(content, windows.codes)
                 shard.append(words)
                 sizes.append(len(words))
                 held += len(words)
-                if held >= shard_words or i == len(contents) - 1:
+                if held >= shard_words or len(sizes) == len(contents):
                     found += windows.search(shard)
                     shard, held = [], 0
             for k, old in enumerate(earlier):
@@ -232,12 +245,15 @@ def _with_earlier(found: tuple[list, list], old: dict) -> tuple[list, list]:
     return merged([*((r["start"], r["stop"]) for r in old["hits"]), *hits]), [*best.values()]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """`docs` without the contaminated ones."""
-    return annotate(docs, benchmark, "_contamination", **options).where("_contamination.n_hit = 0").drop("_contamination")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """`docs` without the contaminated ones, with all columns as they are, whatever their names.  Null and empty texts
+    stay, and so do all rows if there are no items; repeated rows are judged alike."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    return annotate(rows, benchmark, "found", **options).where("found.n_hit = 0").select("row.*")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`annotate` of all documents against all items; nulls, ties and repeated rows as there."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = annotate(docs, read_table(spark, sf_dir, "benchmark"))
     items = F.expr("array_sort(transform(contamination.matches, m -> coalesce(m.item_id, '')))")

@@ -230,12 +230,15 @@ def dropped_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """`docs` with the dropped lines taken out of `text`; lines that stay are unchanged."""
-    names = docs.columns
     # equal rows that are told apart by nothing get their number from the stored copy
-    numbered = store(docs.withColumn("_copy", F.monotonically_increasing_id()), "line-docs")
-    gone = dropped_lines(numbered.select(id_column, "_copy", text), id_column, text, **options).select("_copy", F.col("dropped").alias("_dropped"))
-    kept = F.expr(f"array_join(filter(split(`{text}`, '\\n', -1), (x, i) -> NOT array_contains(_dropped, i)), '\\n')")
-    return numbered.join(gone, "_copy").withColumn(text, kept).select(names)
+    numbered = docs.select(
+        F.struct("*").alias("row"), F.monotonically_increasing_id().alias("copy"), F.col(id_column).alias("id"), F.col(text).alias("text")
+    )
+    numbered = store(numbered, "line-docs")
+    gone = dropped_lines(numbered.select("id", "copy", "text"), "id", "text", **options).select(F.col("copy").alias("of"), "dropped")
+    kept = F.expr("array_join(filter(split(text, '\\n', -1), (x, i) -> NOT array_contains(dropped, i)), '\\n')")
+    joined = numbered.join(gone, F.col("copy") == F.col("of")).withColumn("kept", kept)
+    return joined.select(*[F.col("kept").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,6 @@ from collections.abc import Iterator, Sequence
 from functools import lru_cache, reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -66,11 +65,13 @@ def fingerprints(docs: DataFrame, text: str = "text", name: str = "fp") -> DataF
     """`docs` with the signed 64-bit fingerprint of column `text` as `name`, which replaces
     a column of that name; `text` itself is left out.  A null or empty text has fingerprint zero."""
 
-    @F.pandas_udf("long")
-    def column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    known_to_workers(docs.sparkSession)
+
+    @F.arrow_udf("long")
+    def column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            values = np.fromiter((fingerprint(t) for t in texts), dtype=np.uint64, count=len(texts))
-            yield pd.Series(values.view(np.int64))
+            values = [fingerprint(t) for part in slices(texts, 64) for t in part]
+            yield pa.array(np.array(values, np.uint64).view(np.int64))
 
     return docs.withColumn(name, column(F.col(text))).drop(text)
 
@@ -149,25 +150,31 @@ def _balls(met: DataFrame) -> DataFrame:
 def links(fps: DataFrame, column: str = "fp") -> DataFrame:
     """(a, b): links whose components are those of "at most three bits differ" over the
     distinct values of `column`; b is the smallest member of a ball that holds a.  Nulls
-    have no links."""
+    have no links, repeated values count once, other columns take no part."""
     balls = _balls(_met(fps, column))
     return balls.where("fp <> least").select(F.col("fp").alias("a"), F.col("least").alias("b")).distinct()
 
 
+def _classes(rows: DataFrame) -> DataFrame:
+    """(fp, class) of the distinct values of `fp`: classes go by the smallest fingerprint that can be reached over links."""
+    distinct = store(rows.select("fp").distinct(), "simhash-values")
+    found = components(links(distinct))
+    return distinct.join(found, distinct.fp == found.node, "left").select("fp", F.coalesce("component", "fp").alias("class"))
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with `fp` (signed long) and `component_id`: the smallest id among the documents that can
-    be reached over links, the document itself included.  Null ids never become a
-    component's name unless all of its ids are null."""
-    keyed = store(fingerprints(docs, text), "simhash")
-    smallest = keyed.groupBy("fp").agg(F.min(id_column).alias("_id"))
-    labels = components(links(smallest))
-    named = store(
-        smallest.join(labels, smallest.fp == labels.node, "left")
-        .select("fp", "_id", F.coalesce("component", "fp").alias("_root")),
-        "simhash-labels",
-    )
-    roots = named.groupBy("_root").agg(F.min("_id").alias("component_id"))
-    return keyed.join(named.join(roots, "_root").select("fp", "component_id"), "fp", "left")
+    """`docs` without `text`, with `fp` (signed long) and `component_id`: the smallest id among the documents that can
+    be reached over links, the document itself included; columns of these names are replaced.
+
+    Null and empty texts have fingerprint zero and are linked like any other.  Equal texts and repeated rows are in one
+    component.  Null ids never become a component's name unless all of its ids are null."""
+    kept = [c for c in docs.columns if c not in (text, "fp", "component_id")]
+    rows = docs.select(F.struct(*kept).alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
+    rows = store(fingerprints(rows), "simhash")
+    classes = store(_classes(rows), "simhash-classes")
+    smallest = rows.groupBy("fp").agg(F.min("id").alias("id")).join(classes, "fp")
+    named = classes.join(smallest.groupBy("class").agg(F.min("id").alias("component_id")), "class")
+    return rows.join(named, "fp", "left").select("row.*", "fp", "component_id")
 
 
 def word_fingerprints(texts: list[bytes], seeds: Sequence[int]) -> np.ndarray:
@@ -331,37 +338,32 @@ def similar_texts(texts: DataFrame, seeds: Sequence[int] = WORD_SEEDS, least: fl
     return first.unionByName(second)
 
 
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", seeds: Sequence[int] = WORD_SEEDS,
-             least: float = SIMILARITY) -> DataFrame:
-    """`docs` with one document of each class of similar texts (`similar_texts`): the smallest id (null last), of equal ids
-    the smallest hash of the text, of rows equal in both any one.  A null text is an empty one.
-
-    Rows whose text is in no class and occurs once are passed on where they are read; only the others are shuffled."""
-    names = docs.columns
-    keyed = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    joined = similar_texts(keyed.select(F.col("_hash").alias("hash"), F.coalesce(F.col(text), F.lit("")).alias("text")), seeds, least)
-    classes = components(joined)
-    ids = store(keyed.select("_hash", F.struct(F.col(id_column).isNull().alias("last"), F.col(id_column).alias("id"), "_hash").alias("at")), "near-ids")
-    classed = ids.join(classes, ids._hash == classes.node, "left").select(
-        F.coalesce("component", "_hash").alias("class"), "_hash", "at"
-    )
-    firsts = classed.groupBy("class").agg(F.min("at").alias("at"), F.count("*").alias("n"))
-    grouped = firsts.where("n > 1")
-    several = store(classed.join(grouped.select("class"), "class").select("_hash").distinct(), "near-several")
-    firsts = store(grouped.select(F.col("at.id").alias("_first"), F.col("at._hash").alias("_hash")), "near-firsts")
-    spark = docs.sparkSession
-    near = maybe_in(spark, bitmap(several, "_hash"), "_hash")
-    marked = keyed.withColumn("_near", near)
-    open_ = marked.where("_near")
-    sure = open_.join(several, "_hash", "left_anti").select(names)
-    chosen = (
-        open_.join(firsts.withColumnRenamed("_hash", "_of"), (F.col("_hash") == F.col("_of")) & F.col(id_column).eqNullSafe(F.col("_first")), "left_semi")
-        .dropDuplicates(["_hash"]).select(names)
-    )
-    return marked.where("NOT _near").select(names).unionByName(sure).unionByName(chosen)
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` with one document of each component of near-duplicates (fingerprints of three-word shingles that differ in three bits
+    at most): the one with the smallest id (null last), of equal ids the smallest hash of the text, of rows equal in both
+    any one.  A null text is an empty one.  All columns stay as they are, whatever their names.
+
+    Rows whose text is in a component of its own and occurs once are passed on where they are read; only the
+    others are shuffled: a bitmap of fixed size holds the hashes of their texts."""
+    hash_ = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    rows = docs.select(F.col(id_column).alias("id"), hash_.alias("hash"), F.col(text).alias("text"))
+    rows = store(fingerprints(rows), "simhash")
+    rows = rows.join(_classes(rows), "fp").select("class", F.struct(F.col("id").isNull().alias("last"), "id", "hash").alias("at"))
+    rows = store(rows, "simhash-rows")
+    firsts = rows.groupBy("class").agg(F.min("at").alias("at"), F.count("*").alias("n")).where("n > 1")
+    firsts = store(firsts.select("class", F.col("at.id").alias("first"), F.col("at.hash").alias("of")), "simhash-firsts")
+    several = store(rows.join(firsts, "class").select("at.hash").distinct(), "simhash-several")
+    marked = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), hash_.alias("hash"))
+    marked = marked.withColumn("near", maybe_in(docs.sparkSession, bitmap(several, "hash"), "hash"))
+    open_ = marked.where("near")
+    alone = open_.join(several, "hash", "left_anti").select("row")
+    chosen = open_.join(firsts, (F.col("hash") == F.col("of")) & F.col("id").eqNullSafe(F.col("first")), "left_semi")
+    chosen = chosen.dropDuplicates(["hash"]).select("row")
+    return marked.where("NOT near").select("row").unionByName(alone).unionByName(chosen).select("row.*")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`near_duplicates` of all documents, with the fingerprint in hexadecimal digits; nulls, ties and repeated rows as there."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     keyed = near_duplicates(docs)
     return keyed.select(

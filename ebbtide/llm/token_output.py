@@ -44,16 +44,16 @@ from ebbtide.llm.fingerprints import mixed
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-BLOCK_TOKENS, BATCH_BYTES = 1 << 20, 1 << 20
+BLOCK_TOKENS, BATCH_BYTES = 1 << 20, 1 << 21
 RULES_A_ROUND, LEAST_COUNT, SHORT = 4096, 8, 64
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 _BINS = 18
 # a stop or comma between these bytes is a token of its own
 _BEFORE, _AFTER = (np.isin(np.arange(256), [*of]) for of in (b"abcdefghijklmnopqrstuvwxyz0123456789", b" \n"))
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_USUAL_BYTES = 1 << 21
+_USUAL_BYTES = 1 << 22
 _END = b" "  # stands for the end of a document; no word holds a space
 _HEADER = struct.Struct("<4s7I")
 # fixed values: the normaliser and the pre-tokeniser whose tokens never span white space
@@ -231,10 +231,13 @@ class WordEncoder:
         first, word = _distinct(joined, starts, ends)
         content = joined.tobytes()
         words = [content[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        new = {w for w in words if w not in self.codes}
+        known = list(map(self.codes.get, words))
+        new = [i for i, code in enumerate(known) if code is None]
         if new:
-            self._learn(new)
-        codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))[word]
+            self._learn({words[i] for i in new})
+            for i in new:
+                known[i] = self.codes[words[i]]
+        codes = np.array(known, np.int64)[word]
         self.uses += np.bincount(codes, minlength=len(self.uses))
         # every text's words, then the end
         words_of = np.bincount(text, minlength=len(texts))

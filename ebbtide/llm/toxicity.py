@@ -213,21 +213,23 @@ def score(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
 
 def below(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_column: str = "doc_id", text: str = "text",
           **options) -> DataFrame:
-    """`docs` whose score is below `threshold`, with all columns.
+    """`docs` whose score is below `threshold`, with all columns as they are, whatever their names; repeated rows are judged alike.
 
     The rejected texts are few and known by their hash (of the text as it stands); a bitmap of fixed size passes the
     others on where they are read, and only texts that share a bit with a rejected one are joined."""
-    names = docs.columns
     hash_ = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    scored = score(docs.select(id_column, text, hash_.alias("_hash")), labels, id_column, text, **options)
-    rejected = store(scored.where(F.col("score") >= threshold).select("_hash").distinct(), "toxicity-rejected")
-    marked = docs.withColumn("_hash", hash_)
-    marked = marked.withColumn("_near", maybe_in(docs.sparkSession, bitmap(rejected, "_hash"), "_hash"))
-    clean = marked.where("_near").join(rejected, "_hash", "left_anti")
-    return marked.where("NOT _near").select(names).unionByName(clean.select(names))
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), hash_.alias("hash"))
+    known = labels.select(F.col(id_column).alias("id"), options.get("label", "toxic"))
+    scored = score(rows, known, "id", "text", **options)
+    rejected = store(scored.where(F.col("score") >= threshold).select("hash").distinct(), "toxicity-rejected")
+    marked = docs.select(F.struct("*").alias("row"), hash_.alias("hash"))
+    marked = marked.withColumn("near", maybe_in(docs.sparkSession, bitmap(rejected, "hash"), "hash"))
+    clean = marked.where("near").join(rejected, "hash", "left_anti")
+    return marked.where("NOT near").select("row").unionByName(clean.select("row")).select("row.*")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`score` of all documents.  A null text is the empty one and has a score; a null id counts as the empty text for `held_out`."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score(docs, read_table(spark, sf_dir, "labels"))
     return scored.select(

@@ -2,13 +2,14 @@
 
 import collections
 import random
+import zlib
 
 import numpy as np
 import pytest
 import xxhash
 
 import corpus_pipeline
-from ebbtide.llm import mixing, simhash
+from ebbtide.llm import decontamination, line_dedup, mixing, simhash, token_output, toxicity
 from ebbtide.llm.common import components, read_table, store
 
 SMALL = "/root/testdata/sf0.001"
@@ -91,25 +92,28 @@ def near_copies(rng, words, changes):
     return " ".join(out)
 
 
-def test_keep_one_keeps_one_of_each_group(spark):
-    """Exact and near copies (similarity above 0.9) leave one; everything else stays."""
+def test_keep_one_keeps_one_of_each_component(spark):
+    """Exact copies, near copies and texts of their own: of what all pairs of fingerprints link, the smallest id stays."""
     rng = random.Random(5)
-    docs, group = [], {}
+    docs = []
     for g in range(40):
         words = [f"v{rng.randrange(3000)}" for _ in range(400)]
-        texts = [" ".join(words), " ".join(words).upper(), near_copies(rng, words, 2), near_copies(rng, words, 3)]
-        for t in texts[: 1 + g % 4]:
-            group[len(docs)] = g
-            docs.append((len(docs), t, "x", g))
-    docs += [(500, None, "y", -1), (501, "", "y", -1), (None, "", "y", -1)]
+        texts = [" ".join(words), " ".join(words).upper(), near_copies(rng, words, 1), near_copies(rng, words, 3)]
+        docs += [(len(docs) + k, t, "x", g) for k, t in enumerate(texts[: 1 + g % 4])]
+    docs += [(500, None, "y", -1), (501, "", "y", -1), (None, "", "y", -1), (500, "", "z", -2)]
     frame = spark.createDataFrame(docs, "doc_id long, text string, _hash string, hash long")
     kept = simhash.keep_one(frame)
     assert kept.columns == frame.columns
+    prints = [simhash.fingerprint(d[1]) for d in docs]
+    pairs = [(a, b) for a in range(len(docs)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    root = roots(range(len(docs)), pairs)
+    assert 40 < len(set(root.values())) < 100
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(group[i] for i in ids if i in group) == list(range(40))
-    assert set(ids) - group.keys() == {500}
-    # of each group the smallest id stays
-    assert {i for i in ids if i in group} == {min(i for i in group if group[i] == g) for g in range(40)}
+    assert sorted(ids) == sorted(
+        min(docs[i][0] for i in range(len(docs)) if root[i] == r and docs[i][0] is not None) for r in set(root.values())
+    )
+    # rows come out as they went in
+    assert {tuple(r) for r in kept.collect()} <= {tuple(d) for d in docs}
     assert simhash.keep_one(frame.limit(0)).isEmpty()
 
 
@@ -181,16 +185,76 @@ def test_jaccard_is_exact():
     assert simhash._jaccard_at_least(a, b, exact) and not simhash._jaccard_at_least(a, b, exact + 0.001)
 
 
-def test_pipeline_runs_all_stages(spark):
+def test_pipeline_stage_by_stage(spark):
+    """Every stage against its plain version, on all that the one before has kept."""
     docs = read_table(spark, SMALL, "documents")
-    names, sizes = docs.columns, [docs.count()]
-    for name, stage in corpus_pipeline.STAGES:
-        docs = store(stage(spark, docs, SMALL), "test")
-        sizes.append(docs.count())
-        if name != corpus_pipeline.STAGES[-1][0]:
-            assert docs.columns == names
-    assert sizes[1] < sizes[0] and sizes[2] < sizes[1] and sizes[3] <= sizes[2] and sizes[4] == sizes[5]
-    assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    names, stages = docs.columns, dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "SimHash near-dedup", "benchmark decontamination", "mixing sources to target weights",
+                            "token-ID / binary output"]
+
+    def kept(name):
+        out = store(stages[name](spark, docs, SMALL), "test")
+        return out, sorted(r.doc_id for r in out.collect())
+
+    scores = {r.doc_id: r.score for r in toxicity.score(docs.select("doc_id", "text"), read_table(spark, SMALL, "labels")).collect()}
+    docs, ids = kept("toxicity")
+    assert docs.columns == names and ids == sorted(i for i, s in scores.items() if s < 0.5) and len(ids) < len(scores)
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    prints = {i: simhash.fingerprint(t) for i, t in texts.items()}
+    root = roots(texts, [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3])
+    docs, ids = kept("SimHash near-dedup")
+    assert docs.columns == names and ids == sorted(set(root.values())) and len(ids) < len(texts)
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    windows = set()
+    for r in read_table(spark, SMALL, "benchmark").collect():
+        w = decontamination.words_of(r.text.encode())
+        windows |= {tuple(w[k : k + 10]) for k in range(max(1, len(w) - 9)) if w}
+
+    def clean(text):
+        w = decontamination.words_of((text or "").encode())
+        return not any(tuple(w[k : k + n]) in windows for n in {len(x) for x in windows} for k in range(len(w) - n + 1))
+
+    docs, ids = kept("benchmark decontamination")
+    assert docs.columns == names and ids == sorted(i for i, t in texts.items() if clean(t)) and len(ids) < len(texts)
+
+    taken = {(r.doc_id): r.taken for r in mixing.mix(docs).collect()}
+    docs, ids = kept("mixing sources to target weights")
+    words = collections.Counter()
+    for r in docs.collect():
+        words[r.doc_id] += len(r.text.split())
+    assert docs.columns == names and words == {i: n for i, n in taken.items() if n}
+
+    ordered = sorted(((r.doc_id, r.text) for r in docs.collect()), key=lambda d: d[0])
+    tokenizer = token_output.WordEncoder(token_output.vocabulary_path()).tokenizer
+    found = stages["token-ID / binary output"](spark, docs, SMALL).orderBy("start").collect()
+    assert [r.doc_id for r in found] == [i for i, _ in ordered]
+    crc = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for _, t in ordered]
+    assert collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in found) == collections.Counter(
+        (i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for (i, _), x in zip(ordered, crc)
+    )
+    assert [r.start for r in found] == [0, *np.cumsum([r.n_tokens for r in found])[:-1].tolist()]
+
+
+CLASHING = "doc_id long, text string, source string, _hash string, _near int, _copy string, _dropped int, _contamination string, " \
+           "hash string, score int, near int, id int, fp int, class int, at int, row string, found int, component_id int"
+
+
+def test_columns_of_any_name_keep_their_values(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(f"v{rng.randrange(999)}" for _ in range(60)), "s", *(f"{k}" if t.endswith("string") else k for t in CLASHING.split(", ")[3:]))
+            for k in range(30)]
+    frame = spark.createDataFrame(rows, CLASHING)
+    every = {tuple(r) for r in rows}
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)], "doc_id long, toxic int")
+    outs = [
+        simhash.keep_one(frame), toxicity.below(frame, labels, 2.0), line_dedup.deduplicated(frame),
+        decontamination.decontaminate(frame, spark.createDataFrame([("i", "something else altogether")], "item_id string, text string")),
+    ]
+    for out in outs:
+        assert out.columns == frame.columns
+        assert {tuple(r) for r in out.collect()} == every
 
 
 def test_mixed_documents_hold_the_words_taken(spark):
