@@ -15,7 +15,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact or near copies."""
+    """One document of each component of fingerprints within three bits, exact copies included."""
     return simhash.keep_one(docs)
 
 
