@@ -5,7 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ebbtide.llm import chat, decontamination, fingerprints, line_dedup, mixing, oracle, secret_scan, simhash, token_output, toxicity, warc
+from ebbtide.llm import (
+    alignment, chat, decontamination, fingerprints, line_dedup, mixing, oracle, quality, resampling, secret_scan, simhash,
+    token_output, toxicity, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -18,6 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_chat": chat.op9_chat,
     "op10_warc": warc.op10_warc,
+    "op11_resampling": resampling.op11_resampling,
+    "op12_alignment": alignment.op12_alignment,
+    "op13_quality": quality.op13_quality,
     "pipeline": corpus_pipeline.run,
 }
 

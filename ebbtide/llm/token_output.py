@@ -117,13 +117,18 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return made[0], made[1]
 
 
-def _distinct(joined: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A place of each different word, and the number of its word for every place.  Words are told apart by a 64-bit hash
-    and then compared byte by byte with the word they are taken for; the few that differ count as words of their own."""
+def span_hashes(joined: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span, from differences of one prefix sum."""
     power, inverse = _power(len(joined))
     sums = np.zeros(len(joined) + 1, np.uint64)
     np.cumsum((joined + np.uint64(1)) * power[: len(joined)], out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * inverse[starts])
+    return mixed((sums[ends] - sums[starts]) * inverse[starts])
+
+
+def _distinct(joined: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different word, and the number of its word for every place.  Words are told apart by a 64-bit hash
+    and then compared byte by byte with the word they are taken for; the few that differ count as words of their own."""
+    hashes = span_hashes(joined, starts, ends)
     _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
     lengths = ends - starts
     alike = lengths == lengths[first[word]]
