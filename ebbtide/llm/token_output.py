@@ -399,19 +399,21 @@ class Block:
         return np.concatenate([self.starts[self.firsts], self.starts[-1:]])
 
 
-_encoders: dict[tuple[str, int], WordEncoder] = {}
+_encoders: dict[tuple[str, int, int], WordEncoder] = {}
 
 
 def encode_blocks(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                   vocabulary: str | None = None, end_id: int = END_ID,
-                  block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+                  block_tokens: int = BLOCK_TOKENS, cached: int = CACHED_WORDS) -> DataFrame:
     """The blocks of `docs` in ascending order of the id (null first; equal ids in the order of their texts'
-    hashes).  Null texts are empty; a document is never cut, so a block ends after the document that fills it."""
+    hashes).  Null texts are empty; a document is never cut, so a block ends after the document that fills it.  A Python worker
+    remembers about `cached` words, some 150 bytes each, beyond the task."""
     known_to_workers(docs.sparkSession)
     path = vocabulary or vocabulary_path()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get((path, end_id)) or _encoders.setdefault((path, end_id), WordEncoder(path, end_id))
+        kept = path, end_id, cached
+        encoder = _encoders.get(kept) or _encoders.setdefault(kept, WordEncoder(*kept))
         shard, block = TaskContext.get().partitionId(), 0
         names, ids, counts = [], np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
@@ -488,9 +490,9 @@ def block_starts(blocks: DataFrame) -> DataFrame:
     ).select("shard", "block", (F.col("shard_start") + F.col("in_shard")).alias("block_start"))
 
 
-def write_and_read(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def write_and_read(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Write the blocks, read them back: doc_id, start (ids of all documents before it), n_tokens and ids_crc32."""
-    blocks = store(encode_blocks(docs, id_column, text), "tokens")
+    blocks = store(encode_blocks(docs, id_column, text, **options), "tokens")
     found = read_documents(blocks).join(block_starts(blocks), ["shard", "block"])
     return found.select(
         "doc_id", (F.col("block_start") + F.col("start_in_block")).alias("start"), "n_tokens", "ids_crc32"

@@ -15,9 +15,6 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -182,7 +179,11 @@ def score(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     Learned are the labels of `labels` that `held_out` allows.  Nothing but the text enters a score, so equal texts
     score alike; null is the empty text.  If one of the labels is missing, every score is the share of toxic labels
     (0 without labels)."""
-    spark = docs.sparkSession
+    # here, so that Python workers, which import this module for the features, do not load it
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.regression import IsotonicRegression
+
     # bounded by `train_rows`
     sample = store(training_sample(labels, id_column, label, train_rows), "toxicity-sample")
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))
