@@ -119,3 +119,14 @@ def silver_collateral(bronze: DataFrame, load_time: Column | None = None,
                       newest_first: Sequence[str] = NEWEST_FIRST) -> DataFrame:
     valid = filter_valid_collateral(bronze, min_inclusive)
     return _clean(valid, "collateral", load_time, newest_first)
+
+
+def silver_of_days(bronze: DataFrame, days: DataFrame, dataset: str, load_time: Column | None = None,
+                   **options) -> DataFrame:
+    """The silver rows of the days in `days` (column business_date) alone.
+
+    A key is deduplicated within its day, so they are those of a full build.  A bronze table partitioned by day
+    is read for these days only."""
+    wanted = days.select("business_date").distinct()  # a calendar
+    rows = bronze.join(F.broadcast(wanted), "business_date", "left_semi").select(bronze.columns)
+    return {"balances": silver_balances, "hqla": silver_hqla, "collateral": silver_collateral}[dataset](rows, load_time, **options)

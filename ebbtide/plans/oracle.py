@@ -4,7 +4,7 @@ Written apart from the operators: dedup by QUALIFY, shares by window sums, keys
 row_number, conditional sums by FILTER, and the decimal rounding of Spark in exact
 integer arithmetic, because DuckDB divides and averages decimals as doubles."""
 
-from ebbtide.plans.registry import LOAD_TIME, QUERIES
+from ebbtide.plans.registry import FIRST_DELIVERY, LOAD_TIME, QUERIES
 from ebbtide.schemas import BRONZE, GOLD, LANDING, SILVER
 from ebbtide.sources.feed import GEO_SQL, RAW_SQL, SOURCE_TABLES
 
@@ -432,7 +432,8 @@ _Q["write_landing_csv"] = (
     f"SELECT 'collateral_{LOAD_TIME[:10]}.csv' AS snapshot_file, business_date, "
     "count(*) AS record_count FROM collateral_raw GROUP BY business_date"
 )
-_Q["write_table"] = _Q["silver_balances"]
+_Q["write_table"] = _Q["overwrite_days"] = _Q["silver_balances"]
+_Q["load_new_files"] = "SELECT * EXCLUDE (source_file, load_timestamp) FROM bronze_balances"
 _Q["overwrite_table"] = f"SELECT {_with_text('collateral', True, False)} FROM bronze_collateral"
 _Q["describe_table"] = f"""
 SELECT column_name AS col_name, CASE column_type WHEN 'VARCHAR' THEN 'string'
@@ -498,6 +499,10 @@ _Q["surrogate_key_dense"] = """
 SELECT CAST(row_number() OVER (ORDER BY country NULLS FIRST, subsidiary NULLS FIRST,
     account_type NULLS FIRST, customer_segment NULLS FIRST) AS INT) AS product_key, *
 FROM (SELECT DISTINCT country, subsidiary, account_type, customer_segment FROM silver_balances)"""
+_Q["registered_keys"] = f"""
+SELECT account_id, country,
+  CAST(row_number() OVER (ORDER BY early DESC, account_id, country NULLS FIRST) AS BIGINT) AS account_key
+FROM (SELECT account_id, country, max(business_date < DATE '{FIRST_DELIVERY}') AS early FROM silver_balances GROUP BY ALL)"""
 _Q["date_key"] = """
 SELECT business_date, CAST(strftime(business_date, '%Y%m%d') AS INT) AS date_key
 FROM (SELECT business_date FROM silver_balances UNION SELECT business_date FROM silver_hqla

@@ -16,9 +16,12 @@ from ebbtide.plans.lake import DATASETS, Lake
 from ebbtide.schemas import BRONZE, GOLD, LANDING
 from ebbtide.sources import landing, storage
 from ebbtide.sources.feed import raw_feeds
+from ebbtide.streaming import landing_stream
 
 # One fixed load time, so that results can be compared.
 LOAD_TIME = "2025-01-01 00:00:00"
+# Where a query takes the rows in two deliveries, the second starts on this day.
+FIRST_DELIVERY = "1998-01-01"
 
 _lakes: dict[tuple[str, str], Lake] = {}
 
@@ -143,6 +146,44 @@ def describe_table(k):
     return columns.join(filled, "col_name")
 
 
+@_query
+def load_new_files(k):
+    """The feed arrives in two deliveries, each loaded by a run of its own; a third run finds nothing new."""
+    base, table, ledger = (storage.fresh_folder(k.spark, n) for n in ("landing", "bronze", "ledger"))
+    feed = k.feeds["balances"]
+    early = F.col("business_date") < FIRST_DELIVERY
+    zone = f"{base}/zone"
+    for number, part in enumerate((feed.where(early), feed.where(~F.coalesce(early, F.lit(False))))):
+        landing.write_landing_history(part, f"{zone}/{number}", "balances")
+        landing_stream.load_new_files(k.spark, zone, "balances", table, ledger, _load_time())
+    loaded = landing_stream.load_new_files(k.spark, zone, "balances", table, ledger, _load_time())
+    return loaded.drop("source_file", "load_timestamp")
+
+
+@_query
+def overwrite_days(k):
+    """A late delivery replaces the days that it touches in the stored silver table; the others stay as they are."""
+    path = storage.fresh_folder(k.spark, "table")
+    bronze_rows = k.table("bronze_balances")
+    late = F.coalesce((F.month("business_date") == 3) & (F.substring("source_file", -5, 1) == "7"), F.lit(False))
+    storage.write_table(silver.silver_balances(bronze_rows.where(~late), _load_time()), path, ["business_date"])
+    days = bronze_rows.where(late).select("business_date")
+    return storage.overwrite_days(silver.silver_of_days(bronze_rows, days, "balances", _load_time()), path, days)
+
+
+@_query
+def registered_keys(k):
+    """Keys of accounts and their places: those of the first delivery come first, later ones get the numbers after them, and
+    a third run changes nothing."""
+    columns = ["account_id", "country"]
+    rows = k.table("silver_balances")
+    members = rows.select(columns).schema
+    registry = keys.KeyRegistry(k.spark, storage.fresh_folder(k.spark, "registry"), members, "account_key")
+    registry.extend(rows.where(F.col("business_date") < FIRST_DELIVERY))
+    registry.extend(rows)
+    return registry.extend(rows.where(F.col("business_date") >= FIRST_DELIVERY))
+
+
 # ---- bronze ---------------------------------------------------------------------------
 
 _add("bronze_balances", lambda k: bronze.bronze_balances(k.feeds["balances"], k.bronze_time))

@@ -52,6 +52,15 @@ def scan_landing(spark: SparkSession, path: str, dataset: str, permissive: bool
     return rows.filter(~_is_bad(dataset)).drop(_LINE)
 
 
+def stream_landing(spark: SparkSession, path: str, dataset: str, files_a_batch: int | None = None) -> DataFrame:
+    """The rows of `scan_landing` as a stream over the files that appear below `path`."""
+    reader = spark.readStream.schema(LANDING[dataset]).options(**_FORMAT, enforceSchema=False, columnPruning=False, mode="FAILFAST")
+    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    if files_a_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_a_batch)
+    return with_source_file(reader.csv(path))
+
+
 def landing_rejects(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """(source_file, line) of the lines that a permissive scan leaves out."""
     rows = with_source_file(_whole(spark, path, dataset))

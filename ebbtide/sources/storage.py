@@ -70,6 +70,33 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return read_table(df.sparkSession, path, df.schema)
 
 
+def overwrite_days(df: DataFrame, path: str, days: DataFrame, day: str = "business_date") -> DataFrame:
+    """Replace the days in `days` (column `day`) of the table at `path`, which is partitioned by `day`, with the rows of `df`, and
+    return the table.
+
+    Files of other days are not touched; rows of `df` on other days fail the write.  A day without rows in `df` is removed.
+    The set of days goes through the driver: a calendar, however many rows there are."""
+    spark = df.sparkSession
+    touched = {row[0] for row in days.select(day).distinct().collect()}
+    if not touched:
+        return read_table(spark, path, df.schema)
+    known = F.coalesce(F.col(day).isin([d for d in touched if d is not None]), F.lit(False))
+    known = known | F.col(day).isNull() if None in touched else known
+    kept = df.withColumn(day, F.when(known, F.col(day)).otherwise(F.raise_error(F.concat(
+        F.lit("a row on a day that is not replaced: "), F.coalesce(F.col(day).cast("string"), F.lit("NULL"))
+    )).cast(df.schema[day].dataType)))
+    new = materialise(kept, "days")  # read whole before any day is replaced, perhaps from the table itself
+    filled = {row[0] for row in new.select(day).distinct().collect()}
+    (
+        new.hint("rebalance", F.col(day)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(day).parquet(path)
+    )
+    for value in touched - filled:
+        files, folder = _files(spark, f"{path}/{day}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+        files.delete(folder, True)
+    return read_table(spark, path, df.schema)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Stored table in its declared column order (partition columns come last on disk)."""
     return spark.read.schema(schema).parquet(path).select(schema.names)
