@@ -109,7 +109,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
         return _powers[0], _powers[1]
     made = []
     for base in (_BASE, _INVERSE):
-        factors = np.full(max(n, _USUAL_BYTES), base)
+        factors = np.full(n + n // 4, base)
         factors[0] = 1
         made.append(np.multiply.accumulate(factors))
     if n <= _USUAL_BYTES:
@@ -404,7 +404,7 @@ _encoders: dict[tuple[str, int, int], WordEncoder] = {}
 
 def encode_blocks(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                   vocabulary: str | None = None, end_id: int = END_ID,
-                  block_tokens: int = BLOCK_TOKENS, cached: int = CACHED_WORDS) -> DataFrame:
+                  block_tokens: int = BLOCK_TOKENS, cached: int = CACHED_WORDS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The blocks of `docs` in ascending order of the id (null first; equal ids in the order of their texts'
     hashes).  Null texts are empty; a document is never cut, so a block ends after the document that fills it.  A Python worker
     remembers about `cached` words, some 150 bytes each, beyond the task."""
@@ -432,7 +432,7 @@ def encode_blocks(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
             at = 0
             while at < len(doc_ids):
                 stop, size = at, 0
-                while stop < len(doc_ids) and (stop == at or size < BATCH_BYTES):
+                while stop < len(doc_ids) and (stop == at or size < batch_bytes):
                     size += _size(texts, stop) + 1
                     stop += 1
                 found, n = encoder.encode(texts[at:stop].to_pylist())
