@@ -7,7 +7,7 @@ from ebbtide.llm import decontamination, mixing, simhash, token_output, toxicity
 from ebbtide.llm.common import known_to_workers, read_table, store
 
 TOXIC = 0.5
-REMEMBERED_WORDS = 150_000
+REMEMBERED_WORDS, BLOCK_TOKENS, BATCH_BYTES = 100_000, 1 << 19, 1 << 19
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +32,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids written as Re-Pair blocks and read back: doc_id, start, n_tokens, ids_crc32 per document.  Workers that also
-    serve the other stages remember fewer words."""
-    return token_output.write_and_read(docs, cached=REMEMBERED_WORDS)
+    serve the other stages hold smaller blocks and fewer words."""
+    return token_output.write_and_read(docs, cached=REMEMBERED_WORDS, block_tokens=BLOCK_TOKENS, batch_bytes=BATCH_BYTES)
 
 
 STAGES = [
