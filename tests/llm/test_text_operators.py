@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -304,49 +305,110 @@ def test_every_close_pair_meets(spark):
     for _ in range(25):
         base = "".join(rng.choices("abé", k=rng.randrange(22, 34)))
         lines |= {base, *(changed(rng, base, "abé", 3) for _ in range(8))}
-    lines = sorted(lines)
+        base = "".join(rng.choices("abé", k=rng.randrange(5, 13)))
+        lines |= {base, *(changed(rng, base, "abé", 2) for _ in range(4))}
+    lines = sorted(x for x in lines if x)
     docs = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], DOCS)
     found = {frozenset((r.a, r.b)) for r in line_dedup.links(docs).collect()}
-    long = [x for x in lines if len(x) >= line_dedup.LEAST_NEAR]
-    expected = {
-        frozenset((line_dedup.line_hash(a), line_dedup.line_hash(b)))
-        for i, a in enumerate(long) for b in long[:i] if distance(a, b) <= 2
-    }
-    assert found == expected and len(expected) > 50
+    assert found == {frozenset(map(line_dedup.line_hash, p)) for p in close_pairs(lines)} and len(found) > 80
+
+
+def close_pairs(lines):
+    """Pairs of lines within as many edits as the shorter one allows, by plain comparison."""
+    by_size = collections.defaultdict(list)
+    for x in sorted(lines):
+        by_size[len(x)].append(x)
+    return [
+        (a, b) for n, some in by_size.items() for k, a in enumerate(some) if (e := line_dedup.allowed(n))
+        for b in itertools.chain(some[k + 1 :], *(by_size.get(n + d, []) for d in range(1, e + 1)))
+        if len(set(a) ^ set(b)) <= 2 * e and line_dedup.within(a, b, e)
+    ]
 
 
-def test_line_query(spark, texts):
-    rows = {r.doc_id: r for r in line_dedup.op8_line_dedup(spark, SMALL).collect()}
-    lines = {x for t in texts.values() for x in line_dedup.lines_of(t) if x}
-    long = sorted(x for x in lines if len(x) >= line_dedup.LEAST_NEAR)
-    pairs = [
-        (a, b) for i, a in enumerate(long) for b in long[i + 1 :]
-        if abs(len(a) - len(b)) <= 2 and len(set(a) ^ set(b)) <= 4 and line_dedup.within(a, b, 2)
-    ]
-    degree = collections.Counter(x for p in pairs for x in p)
-    parent = {x: x for x in lines}
+def classes_of(lines, pairs):
+    """Line: the smallest hash that it can reach, and its number of links."""
+    lead = {x: x for x in lines}
 
     def find(x):
-        while parent[x] != x:
-            x = parent[x]
+        while lead[x] != x:
+            x = lead[x]
         return x
 
     for a, b in pairs:
-        parent[find(a)] = find(b)
+        lead[find(a)] = find(b)
+    degree, groups = collections.Counter(x for p in pairs for x in p), collections.defaultdict(list)
+    for x in lines:
+        groups[find(x)].append(x)
+    least = {x: min(map(line_dedup.line_hash, g)) for g in groups.values() for x in g}
+    return {x: (least[x], degree[x]) for x in lines}
+
+
+def test_line_query(spark, texts):
+    rows = {r.doc_id: r for r in line_dedup.op8_line_dedup(spark, SMALL).collect()}
+    lines = {x for t in texts.values() for x in line_dedup.lines_of(t) if x}
+    known = classes_of(lines, close_pairs(lines))
     seen = set()
     for i in sorted(texts):
         own = line_dedup.lines_of(texts[i])
         gone = []
         for k, x in enumerate(own):
-            if x and (c := find(x)) in seen:
+            if x and (c := known[x][0]) in seen:
                 gone.append(k)
             elif x:
                 seen.add(c)
         r = rows[i]
-        assert (r.n_lines, r.n_dropped, r.n_links) == (len(own), len(gone), sum(degree[x] for x in own if x))
+        assert (r.n_lines, r.n_dropped, r.n_links) == (len(own), len(gone), sum(known[x][1] for x in own if x))
         assert r.dropped == ",".join(map(str, gone))
 
 
+def crowd(rng, n):
+    """Lines that share their segments: a third of them near each other, the others not."""
+    near = "the common footer of every page, version "
+    return sorted({f"{near}{rng.randrange(n * 7):07d}" for _ in range(n)} | {f"{near}{'x' * (k % 9)}{k % 10}" for k in range(n // 2)})
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_a_crowd_of_lines_is_counted_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", block)
+    lines = crowd(random.Random(2), 600)
+    docs = spark.createDataFrame([(k, "\n".join(lines[k::7])) for k in range(7)] * 3, DOCS)
+    pairs = close_pairs(lines)
+    assert len(pairs) > len(lines)
+    found = {r.line: (r["class"], r.degree) for r in line_dedup.near_lines(docs).collect()}
+    assert found == {line_dedup.line_hash(x): v for x, v in classes_of(lines, pairs).items() if v[1]}
+    if block == 16:
+        assert {frozenset((r.a, r.b)) for r in line_dedup.links(docs).collect()} == {frozenset(map(line_dedup.line_hash, p)) for p in pairs}
+
+
+def test_what_leaves_a_hot_key_grows_with_its_lines(spark, monkeypatch):
+    """1,500 lines that all share their start: rows of any step stay far below their pairs."""
+    rows = {}
+    store = line_dedup.store
+
+    def counting(df, label, *rest):
+        out = store(df, label, *rest)
+        rows[label] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "store", counting)
+    lines = [f"{'the same beginning of many lines, number ':s}{k:05d}" for k in range(1500)]
+    found = line_dedup.near_lines(spark.createDataFrame([(0, "\n".join(lines))], DOCS))
+    some = {line_dedup.line_hash(x): sum(line_dedup.within(x, y, 2) for y in lines) - 1 for x in lines[::150]}
+    degrees = {r.line: r.degree for r in found.collect()}
+    assert {x: degrees[x] for x in some} == some and len(degrees) == 1500
+    assert max(rows.values()) < 1500 * 14 * 2 < sum(degrees.values()) // 4
+
+
+def test_a_line_of_a_million_characters(spark):
+    rng = random.Random(6)
+    line = "".join(rng.choices("abcdefgh ", k=1_000_000)).strip()
+    other = "X" + line[1:500_000] + line[500_001:]
+    assert line_dedup.within(line, other, 2) and not line_dedup.within(line, "Y" + other[:-1], 2)
+    docs = spark.createDataFrame([(1, f"{line}\nshort"), (0, other), (2, line[5:])], DOCS)
+    rows = {r.doc_id: (r.lines, r.dropped, r.links) for r in line_dedup.dropped_lines(docs).collect()}
+    assert rows == {0: (1, [], 1), 1: (2, [0], 1), 2: (1, [], 0)}
+
+
 def test_lines_of_odd_rows(spark):
     odd = [
         (1, "a\n\nthis is a line of some length, it is\nb"), (None, "this is a line of some lengths, it is\nb\nnew"),
