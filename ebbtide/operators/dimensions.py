@@ -11,6 +11,7 @@ from ebbtide.functions.rules import country_profile, subsidiary_type
 from ebbtide.operators.conform import conform
 from ebbtide.operators.keys import surrogate_key_dense
 from ebbtide.schemas import GOLD
+from ebbtide.sources.storage import materialise
 
 ACCOUNT_ATTRIBUTES = ["account_type", "customer_segment", "currency", "country", "subsidiary"]
 
@@ -80,3 +81,61 @@ def dim_account_scd2(balances: DataFrame) -> DataFrame:
     )
     keyed = surrogate_key_dense(history, "account_key", ["account_id", "effective_date"])
     return conform(keyed, GOLD["dim_account"])
+
+
+def account_history(balances: DataFrame) -> DataFrame:
+    """The versions of `dim_account_scd2` without keys, with `last_seen`, the last day that shows each: what `merge_account_history`
+    carries on."""
+    by_day = Window.partitionBy("account_id").orderBy("business_date")
+    state = F.struct(*ACCOUNT_ATTRIBUTES)
+    changed = balances.withColumn("_changed", (~state.eqNullSafe(F.lag(state).over(by_day))).cast("int"))
+    runs = (
+        changed.withColumn("_run", F.sum("_changed").over(by_day)).groupBy("account_id", "_run", *ACCOUNT_ATTRIBUTES)
+        .agg(F.min("business_date").alias("effective_date"), F.max("business_date").alias("last_seen"))
+    )
+    next_start = F.lead("effective_date").over(Window.partitionBy("account_id").orderBy("effective_date"))
+    return runs.select(
+        "account_id", *ACCOUNT_ATTRIBUTES, "effective_date", "last_seen", F.date_sub(next_start, 1).alias("end_date"),
+        F.when(next_start.isNull(), "Y").otherwise("N").alias("is_current"),
+    )
+
+
+def merge_account_history(history: DataFrame, balances: DataFrame, days: DataFrame) -> DataFrame:
+    """`history` after the days in `days` (column `business_date`) were loaded or replaced in `balances`, in any order of days: what
+    `account_history` gives for all of `balances`.
+
+    Versions whose successor starts before the first touched day stay as they are.  An open version is told by its first and last
+    day, unless a touched day contradicts it (another state inside it, or no row any more at one of its ends); only then are its
+    days read from `balances` again.  The set of days goes through the driver, a calendar; accounts and days are never NULL in silver."""
+    touched = sorted(row[0] for row in days.select("business_date").distinct().collect() if row[0] is not None)
+    if not touched:
+        return history
+    is_open = F.coalesce(F.col("end_date") >= F.date_sub(F.lit(touched[0]), 1), F.lit(True))
+    columns = ["account_id", *ACCOUNT_ATTRIBUTES, "business_date"]
+    fresh = balances.where(F.col("business_date").isin(touched)).select(columns)
+    seen = fresh.select(F.col("account_id").alias("_account"), F.struct(*ACCOUNT_ATTRIBUTES).alias("_state"), F.col("business_date").alias("_day"))
+    version = ["account_id", *ACCOUNT_ATTRIBUTES, "effective_date", "last_seen"]
+    shown = history.where(is_open).select(version).join(
+        seen, F.expr("account_id = _account AND _day BETWEEN effective_date AND last_seen"), "left"
+    ).groupBy(version).agg(
+        F.max(~F.struct(*ACCOUNT_ATTRIBUTES).eqNullSafe(F.col("_state")) & F.col("_day").isNotNull()).alias("_other"),
+        *(F.coalesce(F.max(F.col("_day") == F.col(end)), F.lit(False)).alias(f"_{end}") for end in ("effective_date", "last_seen")),
+    )
+    lost = [F.col(end).isin(touched) & ~F.col(f"_{end}") for end in ("effective_date", "last_seen")]
+    judged = materialise(shown.select(*version, (F.col("_other") | lost[0] | lost[1]).alias("_contradicted")), "versions")
+    ends = F.explode(F.array_distinct(F.array("effective_date", "last_seen"))).alias("business_date")
+    points = judged.where("NOT _contradicted").select("account_id", *ACCOUNT_ATTRIBUTES, ends).unionByName(fresh)
+    again = judged.where("_contradicted").select(F.col("account_id").alias("_account"), "effective_date", "last_seen")
+    first, last = again.agg(F.min("effective_date"), F.max("last_seen")).first()
+    if first is not None:
+        within = balances.where(F.col("business_date").between(first, last)).select(columns)
+        points = points.unionByName(within.join(
+            again, F.expr("account_id = _account AND business_date BETWEEN effective_date AND last_seen"), "left_semi"
+        ))
+    return history.where(~is_open).unionByName(account_history(points))
+
+
+def dim_account_of_history(history: DataFrame) -> DataFrame:
+    """`dim_account_scd2` of stored versions."""
+    keyed = surrogate_key_dense(history.drop("last_seen"), "account_key", ["account_id", "effective_date"])
+    return conform(keyed, GOLD["dim_account"])

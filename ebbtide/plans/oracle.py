@@ -495,6 +495,7 @@ for _name in ("dim_date", "dim_country", "dim_subsidiary", "dim_account", "dim_a
               "fact_intraday_liquidity", "fact_hqla_position", "fact_funding_stability",
               "fact_collateral_risk", "lcr_two_way"):
     _Q[_name] = f"SELECT * FROM {_name}"
+_Q["merge_account_history"] = "SELECT * FROM dim_account_scd2"
 _Q["surrogate_key_dense"] = """
 SELECT CAST(row_number() OVER (ORDER BY country NULLS FIRST, subsidiary NULLS FIRST,
     account_type NULLS FIRST, customer_segment NULLS FIRST) AS INT) AS product_key, *

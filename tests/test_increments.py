@@ -1,13 +1,15 @@
 """Loads of new files, days overwritten one by one, keys that outlive a rebuild."""
 
+import datetime
 import os
+import random
 from collections import Counter
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.operators import keys, silver
+from ebbtide.operators import dimensions, keys, silver
 from ebbtide.plans.registry import lake_of
 from ebbtide.sources import storage
 from ebbtide.streaming.landing_stream import load_new_files
@@ -118,3 +120,64 @@ def test_registry_plan_has_no_one_task_sort(spark, lake, tmp_path):
     whole = registry.extend(rows)
     assert 0 < n < total == whole.count() and whole.agg(F.max("account_key")).first()[0] == total
     assert whole.select("account_key").distinct().count() == total
+
+
+STATES = "account_id string, " + ", ".join(f"{c} string" for c in dimensions.ACCOUNT_ATTRIBUTES) + ", business_date date"
+
+
+def observed(spark, seen):
+    start = datetime.date(2024, 2, 20)
+    rows = [(a, t, None, "EUR", "X", "Y", start + datetime.timedelta(d)) for (a, d), t in seen.items()]
+    return spark.createDataFrame(rows, STATES)
+
+
+def versions(seen):
+    """Account, state, first and last day of each version, by a plain loop."""
+    found = []
+    for (a, d), t in sorted(seen.items()):
+        if found and found[-1][0] == a and found[-1][1] == t:
+            found[-1][3] = d
+        else:
+            found.append([a, t, d, d])
+    return Counter((a, t, s, e, found[k + 1][2] - 1 if k + 1 < len(found) and found[k + 1][0] == a else None) for k, (a, t, s, e) in enumerate(found))
+
+
+def told(history):
+    day = lambda d: None if d is None else (d - datetime.date(2024, 2, 20)).days
+    rows = history.collect()
+    assert all((r.is_current == "Y") == (r.end_date is None) for r in rows)
+    return Counter((r.account_id, r.account_type, day(r.effective_date), day(r.last_seen), day(r.end_date)) for r in rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_history_by_increments_is_the_full_one(spark, seed):
+    """Days arrive in any order, and are replaced: rows change their state, appear and go."""
+    rng, seen, names = random.Random(seed), {}, [f"a{k}" for k in range(40)]
+    stored = dimensions.account_history(observed(spark, seen))
+    assert stored.isEmpty()
+    for load in range(8):
+        days = rng.sample(range(12), rng.randrange(1, 4))
+        for d in days:
+            for a in names:
+                seen.pop((a, d), None)
+                if rng.random() < 0.75:
+                    seen[a, d] = rng.choice(["u", "u", "v", None])
+        rows = observed(spark, seen)
+        touched = observed(spark, {("x", d): "" for d in days})
+        stored = storage.materialise(dimensions.merge_account_history(stored, rows, touched), "history")
+        assert told(stored) == versions(seen), load
+    assert told(dimensions.account_history(rows)) == versions(seen)
+    assert told(dimensions.merge_account_history(stored, rows, touched.limit(0))) == versions(seen)
+
+
+def test_a_day_in_order_reads_its_own_rows_only(spark):
+    """The rows of earlier days fail the query if they are read."""
+    seen = {(f"a{k}", d): "uv"[(k + d) // 5 % 2] for k in range(9) for d in range(6)}
+    stored = storage.materialise(dimensions.account_history(observed(spark, seen)), "history")
+    seen.update({(f"a{k}", 6): "v" for k in range(7)})
+    last = datetime.date(2024, 2, 26)
+    rows = storage.materialise(observed(spark, seen), "days").withColumn(
+        "currency", F.when(F.col("business_date") == last, F.col("currency")).otherwise(F.raise_error(F.lit("read again")))
+    )
+    touched = rows.where(F.col("business_date") == last).select("business_date")
+    assert told(dimensions.merge_account_history(stored, rows, touched)) == versions(seen)
