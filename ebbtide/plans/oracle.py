@@ -504,6 +504,9 @@ _Q["registered_keys"] = f"""
 SELECT account_id, country,
   CAST(row_number() OVER (ORDER BY early DESC, account_id, country NULLS FIRST) AS BIGINT) AS account_key
 FROM (SELECT account_id, country, max(business_date < DATE '{FIRST_DELIVERY}') AS early FROM silver_balances GROUP BY ALL)"""
+_Q["merged_account_counts"] = """
+SELECT country, CAST(date_trunc('month', business_date) AS DATE) AS month, count(DISTINCT account_id) AS account_count
+FROM silver_balances GROUP BY ALL"""
 _Q["date_key"] = """
 SELECT business_date, CAST(strftime(business_date, '%Y%m%d') AS INT) AS date_key
 FROM (SELECT business_date FROM silver_balances UNION SELECT business_date FROM silver_hqla

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ebbtide.functions import ratios, rules
 from ebbtide.functions.calendar import date_key, reporting_calendar
 from ebbtide.operators import (
-    bronze, dimensions, facts, integrity, keys, profiling, reports, silver,
+    bronze, dimensions, distinct_counts, facts, integrity, keys, profiling, reports, silver,
 )
 from ebbtide.operators.conform import conform
 from ebbtide.plans import run
@@ -198,6 +198,24 @@ def merge_account_history(k):
     return dimensions.dim_account_of_history(stored)
 
 
+@_query
+def merged_account_counts(k):
+    """Different accounts per country and month, from bitmaps of single days: those of the second delivery are added to the stored
+    ones of the first, and no day is read twice."""
+    rows = k.table("silver_balances")
+    path, by = storage.fresh_folder(k.spark, "bitmaps"), ["business_date", "country"]
+    members = rows.select("account_id").schema
+    registry = keys.KeyRegistry(k.spark, storage.fresh_folder(k.spark, "registry"), members, "account_number")
+    first = F.col("business_date") < FIRST_DELIVERY
+    registry.extend(rows.where(first))
+    storage.write_table(distinct_counts.member_bitmaps(rows.where(first), registry, by), path, ["business_date"])
+    registry.extend(rows.where(~first))
+    added = distinct_counts.member_bitmaps(rows.where(~first), registry, by)
+    stored = storage.overwrite_days(added, path, rows.where(~first))
+    monthly = stored.withColumn("month", F.trunc("business_date", "month"))
+    return distinct_counts.count_members(monthly, ["country", "month"], "account_count")
+
+
 # ---- bronze ---------------------------------------------------------------------------
 
 _add("bronze_balances", lambda k: bronze.bronze_balances(k.feeds["balances"], k.bronze_time))

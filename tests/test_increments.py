@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.operators import dimensions, keys, silver
+from ebbtide.operators import dimensions, distinct_counts, keys, silver
 from ebbtide.plans.registry import lake_of
 from ebbtide.sources import storage
 from ebbtide.streaming.landing_stream import load_new_files
@@ -181,3 +181,32 @@ def test_a_day_in_order_reads_its_own_rows_only(spark):
     )
     touched = rows.where(F.col("business_date") == last).select("business_date")
     assert told(dimensions.merge_account_history(stored, rows, touched)) == versions(seen)
+
+
+def test_counts_merge_over_any_days(spark, tmp_path):
+    """Numbers beyond one bitmap, NULLs, repeated rows and a day that is replaced; then any range against a plain count."""
+    rng = random.Random(3)
+    seen = {(d, rng.choice("AB"), rng.randrange(200_000)) for d in range(1, 6) for _ in range(9_000)}
+    frame = lambda some: spark.createDataFrame(list(some), "d int, c string, n int").select(
+        F.make_date(F.lit(2024), F.lit(1), "d").alias("business_date"), F.col("c").alias("country"),
+        F.concat(F.lit("account "), "n").alias("account_id"),
+    )
+    rows, path, by = frame(seen), str(tmp_path / "bitmaps"), ["business_date", "country"]
+    odd = rows.limit(50).unionByName(rows.limit(3).withColumn("account_id", F.lit(None).cast("string")))
+    registry = keys.KeyRegistry(spark, str(tmp_path / "keys"), rows.select("account_id").schema, "k")
+    with pytest.raises(Exception, match="a member without a key"):
+        distinct_counts.member_bitmaps(rows, registry, by).collect()
+    registry.extend(rows)
+    storage.write_table(distinct_counts.member_bitmaps(rows.unionByName(odd), registry, by), path, ["business_date"])
+    seen = {(d, c, n) for d, c, n in seen if d != 4} | {(4, "A", 60_001), (4, "B", 7)}
+    day = frame(x for x in seen if x[0] == 4)
+    registry.extend(day)
+    stored = storage.overwrite_days(distinct_counts.member_bitmaps(day, registry, by), path, day)
+    assert stored.agg(F.max("bucket")).first()[0] > 1
+    for first, last in ((1, 5), (2, 4), (4, 4)):
+        days = stored.where(F.dayofmonth("business_date").between(first, last))
+        found = {r.country: r.accounts for r in distinct_counts.count_members(days, ["country"], "accounts").collect()}
+        assert found == {c: len({n for d, x, n in seen if x == c and first <= d <= last}) for c in "AB"}
+    total = distinct_counts.count_members(stored, [], "accounts").first()[0]
+    assert total == len({n for _, _, n in seen})
+    assert distinct_counts.count_members(stored.limit(0), ["country"], "accounts").isEmpty()
