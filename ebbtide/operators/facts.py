@@ -4,7 +4,7 @@ Every fact shuffles rows only after they are summed on the map side; dimensions
 carry no broadcast hint, so Spark broadcasts them while they are small enough
 and joins them by shuffle (splitting hot keys) once they are not."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -169,23 +169,48 @@ def fact_intraday_liquidity(balances: DataFrame, hqla: DataFrame, collateral: Da
 
 # ---- positions ------------------------------------------------------------------------
 
-def hqla_aggregated(hqla: DataFrame) -> DataFrame:
+class Measures(NamedTuple):
+    """What a position fact holds per day, country, subsidiary and `by`: the rows with `counted`, sums, and averages
+    over the rows that have the value."""
+
+    by: Sequence[str]
+    counted: str
+    count: str
+    sums: dict[str, Column]
+    averages: dict[str, Column]
+
+
+def aggregated(rows: DataFrame, measures: Measures) -> DataFrame:
+    return rows.groupBy(*GRAIN, *measures.by).agg(
+        F.count(measures.counted).alias(measures.count),
+        *_sums(measures.sums),
+        *[F.avg(value).alias(name) for name, value in measures.averages.items()],
+    )
+
+
+def hqla_measures() -> Measures:
     eligible = F.col("eligible_hqla_value_eur")
-    return hqla.groupBy(*GRAIN, "hqla_level", "asset_type", "credit_rating").agg(
-        F.count("asset_id").alias("asset_count"),
-        *_sums({
+    return Measures(
+        ["hqla_level", "asset_type", "credit_rating"], "asset_id", "asset_count",
+        {
             "total_market_value_eur": F.col("market_value_eur"),
             "total_eligible_value_eur": eligible,
             "encumbered_value_eur": _where(_is("encumbered_flag", "Y"), eligible),
             "unencumbered_value_eur": _where(_is("encumbered_flag", "N"), eligible),
             "central_bank_eligible_value_eur": _where(_is("central_bank_eligible", "Y"), eligible),
-        }),
-        F.avg("haircut_rate").alias("average_haircut_rate"),
-        F.avg("yield_rate").alias("average_yield_rate"),
-        F.avg("liquidity_score").alias("average_liquidity_score"),
+        },
+        {
+            "average_haircut_rate": F.col("haircut_rate"),
+            "average_yield_rate": F.col("yield_rate"),
+            "average_liquidity_score": F.col("liquidity_score"),
+        },
     )
 
 
+def hqla_aggregated(hqla: DataFrame) -> DataFrame:
+    return aggregated(hqla, hqla_measures())
+
+
 def is_inactive() -> Column:
     """No movement for more than thirty days; an unknown date does not count."""
     return F.datediff("business_date", "last_transaction_date") > 30
@@ -195,25 +220,33 @@ def is_overdue() -> Column:
     return F.col("next_review_date") < F.col("business_date")
 
 
-def inactive_sums() -> list[Column]:
-    return _sums({
+def _inactive_values() -> dict[str, Column]:
+    return {
         "inactive_account_count": _where(is_inactive(), F.lit(1)),
         "inactive_balance_eur": _where(is_inactive(), F.col("balance_eur")),
-    })
+    }
 
 
-def overdue_sums() -> list[Column]:
-    return _sums({
+def _overdue_values() -> dict[str, Column]:
+    return {
         "overdue_review_count": _where(is_overdue(), F.lit(1)),
         "overdue_review_value_eur": _where(is_overdue(), F.col("net_realizable_value_eur")),
-    })
+    }
 
 
-def funding_aggregated(balances: DataFrame) -> DataFrame:
+def inactive_sums() -> list[Column]:
+    return _sums(_inactive_values())
+
+
+def overdue_sums() -> list[Column]:
+    return _sums(_overdue_values())
+
+
+def funding_measures() -> Measures:
     eur = F.col("balance_eur")
-    return balances.groupBy(*GRAIN, "maturity_bucket", "customer_segment", "account_type").agg(
-        F.count("account_id").alias("account_count"),
-        *_sums({
+    return Measures(
+        ["maturity_bucket", "customer_segment", "account_type"], "account_id", "account_count",
+        {
             "total_balance_eur": eur,
             "stable_funding_balance_eur": _where(_is("stable_funding_flag", "Y"), eur),
             "unstable_funding_balance_eur": _where(_is("stable_funding_flag", "N"), eur),
@@ -221,20 +254,21 @@ def funding_aggregated(balances: DataFrame) -> DataFrame:
             "high_volatility_balance_eur": _where(_is("balance_volatility", "High"), eur),
             "medium_volatility_balance_eur": _where(_is("balance_volatility", "Medium"), eur),
             "low_volatility_balance_eur": _where(_is("balance_volatility", "Low"), eur),
-        }),
-        *inactive_sums(),
-        F.avg("balance_eur").alias("average_balance_eur"),
-        F.avg("weighted_outflow_rate").alias("average_outflow_rate"),
+            **_inactive_values(),
+        },
+        {"average_balance_eur": eur, "average_outflow_rate": F.col("weighted_outflow_rate")},
     )
 
 
-def collateral_aggregated(collateral: DataFrame) -> DataFrame:
+def funding_aggregated(balances: DataFrame) -> DataFrame:
+    return aggregated(balances, funding_measures())
+
+
+def collateral_measures() -> Measures:
     net = F.col("net_realizable_value_eur")
-    return collateral.groupBy(
-        *GRAIN, "collateral_type", "quality_rating", "collateral_status"
-    ).agg(
-        F.count("collateral_id").alias("collateral_count"),
-        *_sums({
+    return Measures(
+        ["collateral_type", "quality_rating", "collateral_status"], "collateral_id", "collateral_count",
+        {
             "total_gross_value_eur": F.col("gross_value_eur"),
             "total_net_value_eur": net,
             "high_concentration_value_eur": _where(_is("concentration_risk_flag", "Y"), net),
@@ -242,15 +276,21 @@ def collateral_aggregated(collateral: DataFrame) -> DataFrame:
             "uninsured_value_eur": _where(_is("insurance_status", "N"), net),
             "active_collateral_value_eur": _where(_is("collateral_status", "Active"), net),
             "under_review_value_eur": _where(_is("collateral_status", "Under Review"), net),
-        }),
-        *overdue_sums(),
-        F.avg("haircut_percentage").alias("average_haircut_percentage"),
-        F.avg("loan_to_value_ratio").alias("average_ltv_ratio"),
-        F.avg("liquidation_period_days").alias("average_liquidation_days"),
-        F.avg(quality_score(F.col("quality_rating"))).alias("quality_score"),
+            **_overdue_values(),
+        },
+        {
+            "average_haircut_percentage": F.col("haircut_percentage"),
+            "average_ltv_ratio": F.col("loan_to_value_ratio"),
+            "average_liquidation_days": F.col("liquidation_period_days"),
+            "quality_score": quality_score(F.col("quality_rating")),
+        },
     )
 
 
+def collateral_aggregated(collateral: DataFrame) -> DataFrame:
+    return aggregated(collateral, collateral_measures())
+
+
 def with_concentration(df: DataFrame, value: str, totals: DataFrame, total: str) -> DataFrame:
     """Add each row's percentage of the total of its day, country and subsidiary, which `totals`
     (the liquidity metrics, or one of their parts) holds in column `total`.
@@ -289,40 +329,52 @@ def with_stable_funding_ratio(funding: DataFrame) -> DataFrame:
     )
 
 
-def _position_fact(name: str, key: str, aggregated: DataFrame, groups: Sequence[str], value: str,
-                   metrics: DataFrame, total: str, dims: Dims, load_time: Column | None) -> DataFrame:
-    """The dimensions are joined to the short metrics; the aggregated rows join keys and totals
+class Position(NamedTuple):
+    """A position fact: its key, what it measures, and the value whose share of the total it shows."""
+
+    dataset: str
+    key: str
+    measures: Callable[[], Measures]
+    value: str
+    total: str
+
+
+POSITIONS = {
+    "fact_hqla_position": Position(
+        "hqla", "hqla_position_key", hqla_measures, "total_eligible_value_eur", "total_hqla_eligible_eur"),
+    "fact_funding_stability": Position(
+        "balances", "funding_stability_key", funding_measures, "total_balance_eur", "total_balance_eur"),
+    "fact_collateral_risk": Position(
+        "collateral", "collateral_risk_key", collateral_measures, "total_net_value_eur", "total_collateral_net_eur"),
+}
+
+
+def position_fact(name: str, sums: DataFrame, metrics: DataFrame, dims: Dims,
+                  load_time: Column | None = None) -> DataFrame:
+    """Position fact `name` from its aggregated rows and the liquidity metrics over the same positions.
+
+    The dimensions are joined to the short metrics; the aggregated rows join keys and totals
     at once, and are then stored in key order and numbered."""
-    places = dim_lookup(metrics.select(*GRAIN, F.col(total).alias("_whole")), dims)
-    shares = with_concentration(aggregated, value, places, "_whole")
-    placed = place_rows(shares, [*GRAIN, *groups], key)
-    return conform(with_load_timestamp(number_rows(placed, placed, key, LONG), load_time), GOLD[name])
+    position = POSITIONS[name]
+    places = dim_lookup(metrics.select(*GRAIN, F.col(position.total).alias("_whole")), dims)
+    shares = with_concentration(sums, position.value, places, "_whole")
+    if name == "fact_funding_stability":
+        shares = with_stable_funding_ratio(shares)
+    placed = place_rows(shares, [*GRAIN, *position.measures().by], position.key)
+    numbered = number_rows(placed, placed, position.key, LONG)
+    return conform(with_load_timestamp(numbered, load_time), GOLD[name])
 
 
 def fact_hqla_position(hqla: DataFrame, metrics: DataFrame, dims: Dims,
                        load_time: Column | None = None) -> DataFrame:
-    """`metrics` are the liquidity metrics over the same assets, here and below."""
-    return _position_fact(
-        "fact_hqla_position", "hqla_position_key", hqla_aggregated(hqla),
-        ["hqla_level", "asset_type", "credit_rating"], "total_eligible_value_eur",
-        metrics, "total_hqla_eligible_eur", dims, load_time,
-    )
+    return position_fact("fact_hqla_position", hqla_aggregated(hqla), metrics, dims, load_time)
 
 
 def fact_funding_stability(balances: DataFrame, metrics: DataFrame, dims: Dims,
                            load_time: Column | None = None) -> DataFrame:
-    return _position_fact(
-        "fact_funding_stability", "funding_stability_key",
-        with_stable_funding_ratio(funding_aggregated(balances)),
-        ["maturity_bucket", "customer_segment", "account_type"], "total_balance_eur",
-        metrics, "total_balance_eur", dims, load_time,
-    )
+    return position_fact("fact_funding_stability", funding_aggregated(balances), metrics, dims, load_time)
 
 
 def fact_collateral_risk(collateral: DataFrame, metrics: DataFrame, dims: Dims,
                          load_time: Column | None = None) -> DataFrame:
-    return _position_fact(
-        "fact_collateral_risk", "collateral_risk_key", collateral_aggregated(collateral),
-        ["collateral_type", "quality_rating", "collateral_status"], "total_net_value_eur",
-        metrics, "total_collateral_net_eur", dims, load_time,
-    )
+    return position_fact("fact_collateral_risk", collateral_aggregated(collateral), metrics, dims, load_time)

@@ -5,7 +5,7 @@ row_number, conditional sums by FILTER, and the decimal rounding of Spark in exa
 integer arithmetic, because DuckDB divides and averages decimals as doubles."""
 
 from ebbtide.plans.registry import FIRST_DELIVERY, LOAD_TIME, QUERIES
-from ebbtide.schemas import BRONZE, GOLD, LANDING, SILVER
+from ebbtide.schemas import BRONZE, FACTS, GOLD, LANDING, SILVER
 from ebbtide.sources.feed import GEO_SQL, RAW_SQL, SOURCE_TABLES
 
 _STAMP = f"TIMESTAMP '{LOAD_TIME}'"
@@ -324,6 +324,13 @@ SELECT {_GRAIN}, collateral_type, quality_rating, collateral_status,
   {_OVERDUE}, {_AVG_SCORE} AS quality_score
 FROM silver_collateral GROUP BY ALL"""
 
+# The same measures per country and month.
+for _name in ("hqla", "funding", "collateral"):
+    _head, _tail = CTES[f"{_name}_aggregated"].split("count(", 1)
+    CTES[f"{_name}_monthly"] = (
+        f"SELECT country, CAST(date_trunc('month', business_date) AS DATE) AS month, count({_tail}"
+    )
+
 
 def _with_share(table: str, value: str) -> str:
     whole = f"sum({value}) OVER (PARTITION BY {_GRAIN})"
@@ -406,6 +413,8 @@ _COLUMNS = {
     "collateral_aggregated": [
         *GOLD["fact_collateral_risk"].names[7:20], "quality_score"],
 }
+for _name in ("hqla", "funding", "collateral"):
+    _COLUMNS[f"{_name}_monthly"] = _COLUMNS[f"{_name}_aggregated"]
 
 _Q: dict[str, str] = {}
 
@@ -495,6 +504,10 @@ for _name in ("dim_date", "dim_country", "dim_subsidiary", "dim_account", "dim_a
               "fact_intraday_liquidity", "fact_hqla_position", "fact_funding_stability",
               "fact_collateral_risk", "lcr_two_way"):
     _Q[_name] = f"SELECT * FROM {_name}"
+for _name in FACTS:
+    _Q[f"merged_{_name}"] = f"SELECT * FROM {_name}"
+for _name, _source in {"hqla_position": "hqla", "funding_stability": "funding", "collateral_risk": "collateral"}.items():
+    _Q[f"monthly_{_name}"] = _typed(f"fact_{_name}", f"{_source}_monthly")
 _Q["merge_account_history"] = "SELECT * FROM dim_account_scd2"
 _Q["surrogate_key_dense"] = """
 SELECT CAST(row_number() OVER (ORDER BY country NULLS FIRST, subsidiary NULLS FIRST,

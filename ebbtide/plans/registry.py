@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from ebbtide.functions import ratios, rules
 from ebbtide.functions.calendar import date_key, reporting_calendar
 from ebbtide.operators import (
-    bronze, dimensions, distinct_counts, facts, integrity, keys, profiling, reports, silver,
+    bronze, dimensions, distinct_counts, facts, integrity, keys, partials, profiling, reports, silver,
 )
 from ebbtide.operators.conform import conform
+from ebbtide.operators.dimensions import distinct_values
 from ebbtide.plans import run
 from ebbtide.plans.lake import DATASETS, Lake
-from ebbtide.schemas import BRONZE, GOLD, LANDING
+from ebbtide.schemas import BRONZE, FACTS, GOLD, LANDING
 from ebbtide.sources import landing, storage
 from ebbtide.sources.feed import raw_feeds
 from ebbtide.streaming import landing_stream
@@ -216,6 +217,39 @@ def merged_account_counts(k):
     return distinct_counts.count_members(monthly, ["country", "month"], "account_count")
 
 
+_partials: dict[str, partials.FactPartials] = {}
+
+
+def _partials_of(k: Lake) -> partials.FactPartials:
+    """Partial sums of the lake's silver, in two deliveries: a first without some late rows, then the later days and the days that the
+    late rows replace."""
+    if k.root not in _partials:
+        store = partials.FactPartials(k.spark, storage.fresh_folder(k.spark, "partials"))
+        rows, second = k.silver(), F.col("business_date") >= FIRST_DELIVERY
+        keys_of = {"balances": "account_id", "hqla": "asset_id", "collateral": "collateral_id"}
+        late = {d: (F.month("business_date") == 3) & F.col(key).endswith("7") for d, key in keys_of.items()}
+        days = lambda some: distinct_values([df.where(some[d]) for d, df in rows.items()], ["business_date"])
+        store.update({d: df.where(~late[d]) for d, df in rows.items()}, days({d: ~second for d in rows}))
+        store.update(rows, days({d: second | late[d] for d in rows}))
+        _partials[k.root] = store
+    return _partials[k.root]
+
+
+for _fact in FACTS:
+    _add(f"merged_{_fact}", lambda k, f=_fact: _partials_of(k).fact(f, _partials_of(k).dims(), _load_time()))
+
+
+def _monthly(k: Lake, fact: str) -> DataFrame:
+    """Measures of a position fact per country and month, averages over the rows of all days."""
+    held = _partials_of(k).partials(fact).withColumn("month", F.trunc("business_date", "month"))
+    measures = facts.POSITIONS[fact].measures()
+    return _typed(partials.merge_partials(held, measures, ["country", "month"]), fact)
+
+
+_add("monthly_hqla_position", lambda k: _monthly(k, "fact_hqla_position"))
+_add("monthly_funding_stability", lambda k: _monthly(k, "fact_funding_stability"))
+_add("monthly_collateral_risk", lambda k: _monthly(k, "fact_collateral_risk"))
+
 # ---- bronze ---------------------------------------------------------------------------
 
 _add("bronze_balances", lambda k: bronze.bronze_balances(k.feeds["balances"], k.bronze_time))

@@ -47,6 +47,11 @@ def work_folder(spark: SparkSession) -> Iterator[None]:
         files.delete(path, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _files(spark, path)
+    return files.exists(folder)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a table was written to `path` and the write ended."""
     files, marker = _files(spark, f"{path}/_SUCCESS")
