@@ -725,6 +725,9 @@ _Q["run_all"] = _union_all(
     + _counts("silver", [(f"silver_{d}", f"silver_{d}") for d in BRONZE])
     + _counts("gold", [("liquidity_metrics", "combined_metrics"), *[(t, t) for t in GOLD]])
 )
+_Q["resume_all"] = (
+    f"SELECT * REPLACE (CASE layer WHEN 'gold' THEN status ELSE 'current' END AS status) FROM ({_Q['run_all']})"
+)
 
 
 def _needed(sql: str, found: dict[str, None]) -> dict[str, None]:

@@ -13,6 +13,7 @@ from ebbtide.operators import (
 from ebbtide.operators.conform import conform
 from ebbtide.operators.dimensions import distinct_values
 from ebbtide.plans import run
+from ebbtide.plans.fingerprints import table_marks
 from ebbtide.plans.lake import DATASETS, Lake
 from ebbtide.schemas import BRONZE, FACTS, GOLD, LANDING
 from ebbtide.sources import landing, storage
@@ -500,6 +501,17 @@ def run_all(k):
     return run.run_all(lake).select(_STATUS)
 
 
+@_query
+def resume_all(k):
+    """A run that ended after silver, gone on with: bronze and silver are kept, gold is built."""
+    lake = Lake(k.spark, storage.fresh_folder(k.spark, "run"), k.feeds, k.bronze_time, k.load_time)
+    marks = table_marks(lake)
+    for layer in ("bronze", "silver"):
+        run.run_layer(lake, layer, marks)
+    again = Lake(k.spark, lake.root, k.feeds, k.bronze_time, k.load_time)
+    return run.resume_all(again).select(_STATUS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: (lambda spark, folder, build=build: build(lake_of(spark, folder)))

@@ -58,6 +58,30 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return files.exists(marker)
 
 
+_MARK = "_FINGERPRINT"  # readers skip names that begin so
+
+
+def write_mark(spark: SparkSession, path: str, mark: str) -> None:
+    """Note beside the rows of the table at `path` what they were made of.  Whatever replaces rows removes the mark first."""
+    files, target = _files(spark, f"{path}/{_MARK}")
+    stream = files.create(target, True)
+    try:
+        stream.write(bytearray(mark.encode()))
+    finally:
+        stream.close()
+
+
+def read_mark(spark: SparkSession, path: str) -> str | None:
+    files, target = _files(spark, f"{path}/{_MARK}")
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts lineage, and the
     rows survive the loss of executors."""
@@ -91,6 +115,8 @@ def overwrite_days(df: DataFrame, path: str, days: DataFrame, day: str = "busine
         F.lit("a row on a day that is not replaced: "), F.coalesce(F.col(day).cast("string"), F.lit("NULL"))
     )).cast(df.schema[day].dataType)))
     new = materialise(kept, "days")  # read whole before any day is replaced, perhaps from the table itself
+    files, mark = _files(spark, f"{path}/{_MARK}")
+    files.delete(mark, False)
     filled = {row[0] for row in new.select(day).distinct().collect()}
     (
         new.hint("rebalance", F.col(day)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
