@@ -21,6 +21,9 @@ it.  Every assistant text is therefore a target exactly once.  A window passes t
 single turn does, or the system turn and the history leave no room: turns are never cut.
 
 The mask is a list of ranges [start, stop) in code points of the window's text.
+
+A conversation of any length is cut into the parts of a range sort, so that no task holds all of it: prefix sums
+run inside a part and start from the sums of the parts before, one short row per conversation and part.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,6 +46,58 @@ def unescape(text: Column, role: bool = False) -> Column:
     return F.replace(F.replace(text, F.lit("%3C"), F.lit("<")), F.lit("%25"), F.lit("%"))
 
 
+def in_order(turns: DataFrame) -> DataFrame:
+    """`turns` (conv_id, turn, role, text) with `tokens`, `part` and `at`: a range sort by conversation and turn numbers the rows in
+    `at` and cuts them into parts.  Turns of a conversation that agree in number, role and the first 64 characters stay in one part."""
+    rows = turns.withColumn("tokens", F.regexp_count("text", F.lit(_WORD)).cast("long") + 4)
+    # nulls come first; ranges are cut on short keys, as a sample of them passes through the driver
+    ranges = rows.repartitionByRange("conv_id", "turn", F.left("role", F.lit(64)), F.left("text", F.lit(64)))
+    placed = ranges.sortWithinPartitions("conv_id", "turn", "role", "text").withColumn("at", F.monotonically_increasing_id())
+    return store(placed.withColumn("part", F.shiftright("at", 33)), "chat-order")
+
+
+def _with_window(rows: DataFrame, budget: int) -> DataFrame:
+    """The rows of `in_order` with their number in the conversation (`place`, from 1), the tokens `before` them and their
+    `window`: spans are numbered without gaps, also where a long turn passes several marks."""
+    running = Window.partitionBy("conv_id", "part").orderBy("at")
+    so_far = running.rowsBetween(Window.unboundedPreceding, 0)
+    parts = Window.partitionBy("conv_id").orderBy("part")
+    earlier = parts.rowsBetween(Window.unboundedPreceding, -1)
+
+    def joined(df: DataFrame, per_part: DataFrame) -> DataFrame:
+        named = per_part.withColumnsRenamed({"conv_id": "_c", "part": "_p"})
+        return df.join(named, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("part") == F.col("_p"))).drop("_c", "_p")
+
+    def stepped(df: DataFrame) -> DataFrame:
+        """`step`: how many spans began in the part after its first row."""
+        return (
+            joined(df, starts)
+            .withColumn("place", F.col("_rows") + F.row_number().over(running))
+            .withColumn("before", F.col("_tokens") + F.sum("tokens").over(so_far) - F.col("tokens"))
+            .withColumn("mark", F.floor(F.col("before") / (budget // 2)))
+            .withColumn("_new", F.coalesce(F.col("mark") != F.lag("mark").over(running), F.lit(False)).cast("long"))
+            .withColumn("step", F.sum("_new").over(so_far))
+        )
+
+    # per-part sums are stored, so that their size decides how they are joined
+    sums = rows.groupBy("conv_id", "part").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
+    starts = store(sums.select(
+        "conv_id", "part",
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in ("tokens", "rows")],
+    ), "chat-parts")
+    marks = stepped(rows.select("conv_id", "part", "at", "tokens")).groupBy("conv_id", "part").agg(
+        F.min("mark").alias("low"), F.max("mark").alias("high"), F.max("step").alias("steps")
+    )
+    opens = F.coalesce(F.col("low") != F.lag("high").over(parts), F.lit(False)).cast("long")
+    spans = marks.withColumn("opens", opens).select(
+        "conv_id", "part",
+        (F.coalesce(F.sum("steps").over(earlier), F.lit(0))
+         + F.sum("opens").over(parts.rowsBetween(Window.unboundedPreceding, 0))).alias("_spans"),
+    )
+    numbered = joined(stepped(rows), store(spans, "chat-spans"))
+    return numbered.withColumn("window", F.col("_spans") + F.col("step"))
+
+
 def windows(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
             budget: int = BUDGET, history_tokens: int = HISTORY) -> DataFrame:
     """(conv_id, window, n_repeated, formatted, loss) of `turns`: windows are numbered from 0 in each conversation,
@@ -51,45 +106,35 @@ def windows(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     Turns are ordered by number, null first; turns of one number by role, then text.  Null roles and texts are empty.
     Null conversation ids are one conversation.  Tokens are words between white space plus four for the marks.
     No turns give no windows.  Columns that are not named are ignored."""
-    rows = turns.select(
+    rows = in_order(turns.select(
         F.col(conv).alias("conv_id"), F.col(turn).alias("turn"),
         F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-    )
-    rows = rows.withColumn("tokens", F.regexp_count("text", F.lit(_WORD)).cast("long") + 4)
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    ))
     head = F.concat(F.lit(START), escape(F.col("role"), role=True), F.lit("\n"))
+    span = Window.partitionBy("conv_id", "window")
     rows = (
-        rows.withColumn("place", F.row_number().over(order))
-        .withColumn("before", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"))
-        .withColumn("mark", F.floor(F.col("before") / (budget // 2)))
-        # spans are numbered without gaps, also where a long turn passes several marks
-        .withColumn("new", (F.col("mark") != F.coalesce(F.lag("mark").over(order), F.lit(-1))).cast("long"))
-        .withColumn("window", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+        _with_window(rows, budget)
         .withColumn("segment", F.concat(head, escape(F.col("text")), F.lit(f"{END}\n")))
         .withColumn("text_start", F.length(head))
+        .withColumn("span_end", F.max(F.col("before") + F.col("tokens")).over(span))
+        .withColumn("opens", F.col("place") == F.min("place").over(span))
     )
-    span = Window.partitionBy("conv_id", "window")
-    rows = rows.withColumn("span_end", F.max(F.col("before") + F.col("tokens")).over(span))
     rows = store(
-        rows.select("conv_id", "window", "place", "role", "segment", "text_start", "before", "span_end"), "chat-turns"
+        rows.select("conv_id", "window", "place", "role", "segment", "text_start", "before", "span_end", "opens"), "chat-turns"
     )
-    last = rows.groupBy("conv_id").agg(F.max("window").alias("last"))
-    named = rows.join(last.withColumnRenamed("conv_id", "_c"), F.col("conv_id").eqNullSafe(F.col("_c")))
+
+    def used(some: DataFrame, kind: int, window: Column) -> DataFrame:
+        return some.select("conv_id", window.alias("window"), F.lit(kind).alias("kind"), "place", "role", "segment", "text_start")
+
     # a turn is a target in its own window and history in the next one, if it is near enough to the end of its span
     is_system = (F.col("place") == 1) & (F.col("role") == "system")
-    near = (F.col("span_end") - F.col("before") <= history_tokens) & ~is_system
-    after = F.when(near & (F.col("window") < F.col("last")), F.array(F.struct(F.lit(1).alias("kind"), (F.col("window") + 1).alias("to"))))
-    system = F.when(
-        is_system & (F.col("last") > 0),
-        F.transform(F.sequence(F.lit(1).cast("long"), F.greatest(F.col("last"), F.lit(1))), lambda w: F.struct(F.lit(0).alias("kind"), w.alias("to"))),
-    )
-    none = F.array().cast("array<struct<kind:int,to:bigint>>")
-    uses = F.concat(
-        F.array(F.struct(F.lit(2).alias("kind"), F.col("window").alias("to"))),
-        F.coalesce(after, none), F.coalesce(system, none),
-    )
-    used = named.withColumn("use", F.explode(uses)).select(
-        "conv_id", F.col("use.to").alias("window"), F.col("use.kind").alias("kind"), "place", "role", "segment", "text_start"
+    later = rows.where(F.col("opens") & (F.col("window") > 0)).select(F.col("conv_id").alias("_c"), F.col("window").alias("_w"))
+    same = F.col("conv_id").eqNullSafe(F.col("_c"))
+    near = rows.where((F.col("span_end") - F.col("before") <= history_tokens) & ~is_system)
+    used = (
+        used(rows, 2, F.col("window"))
+        .unionByName(used(near.join(later, same & (F.col("window") + 1 == F.col("_w"))), 1, F.col("_w")))
+        .unionByName(used(rows.where(is_system).join(later, same), 0, F.col("_w")))
     )
     within = Window.partitionBy("conv_id", "window").orderBy("kind", "place")
     offset = F.sum(F.length("segment")).over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.length("segment")

@@ -3,13 +3,14 @@
 import base64
 import collections
 import hashlib
+import random
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.llm import chat, mixing, toxicity, warc
-from ebbtide.llm.common import new_folder, read_table
+from ebbtide.llm.common import new_folder, read_table, store
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -129,6 +130,71 @@ def test_windows_keep_to_the_budget_and_the_history(spark):
     assert all(r.formatted.count(chat.START) == 5 + r.n_repeated for r in rows)
 
 
+def plain_windows(turns, budget, history):
+    """(conv, window) -> (n_repeated, turns) of texts and roles, by a loop over each conversation."""
+    out, conversations = {}, collections.defaultdict(list)
+    for t in sorted(turns, key=lambda t: (t[0] is not None, t[0] or 0, t[1] is not None, t[1] or 0, t[2] or "", t[3] or "")):
+        conversations[t[0]].append((t[2] or "", t[3] or ""))
+    for conv, rows in conversations.items():
+        spans, before, last = [], 0, None
+        for role, text in rows:
+            if before // (budget // 2) != last:
+                last = before // (budget // 2)
+                spans.append([])
+            tokens = len([w for w in text.replace("\t", " ").replace("\n", " ").split(" ") if w]) + 4
+            spans[-1].append((role, text, tokens))
+            before += tokens
+        system = rows[0][0] == "system"
+        for k, span in enumerate(spans):
+            held = [spans[0][0]] if system and k else []
+            if k:
+                old, room = [], history
+                for n, t in reversed(list(enumerate(spans[k - 1]))):
+                    room -= t[2]
+                    if room < 0:
+                        break
+                    if not (system and k == 1 and n == 0):
+                        old.append(t)
+                held += old[::-1]
+            out[conv, k] = (len(held), [(r, t) for r, t, _ in held + span])
+    return out
+
+
+def cut(formatted):
+    """The turns of a formatted window."""
+    back = lambda t: t.replace("%3C", "<").replace("%25", "%")
+    pieces = [p.removesuffix(chat.END + "\n").split("\n", 1) for p in formatted.split(chat.START)[1:]]
+    return [(back(role.replace("%0A", "\n")), back(text)) for role, text in pieces]
+
+
+@pytest.mark.parametrize("budget, history", [(100, 60), (40, 15), (20, 0), (4096, 512)])
+def test_windows_are_those_of_a_loop(spark, budget, history):
+    frame = spark.createDataFrame(ODD, "conv_id long, turn long, role string, text string")
+    rows = chat.windows(frame.repartition(5), budget=budget, history_tokens=history).collect()
+    assert {(r.conv_id, r.window): (r.n_repeated, cut(r.formatted)) for r in rows} == plain_windows(ODD, budget, history)
+
+
+@pytest.mark.parametrize("conv", [7, None])
+def test_a_hot_conversation_is_spread(spark, request, conv):
+    """A conversation of 60,000 turns, some of them repeated, without numbers, or longer than several budgets."""
+    rng = random.Random(4)
+    turns = [(conv, 0, "system", "be %3C kind")]
+    for k in range(60_000):
+        words = rng.randrange(200, 400) if rng.random() < 0.001 else rng.randrange(12)
+        turns.append((conv, None if k % 50 == 0 else k // 3, rng.choice(["user", "assistant"]), f"<|{k % 7} " + "w " * words))
+    turns += [(1, k, "assistant", "x") for k in range(30)]
+    schema = "conv_id long, turn long, role string, text string"
+    frame = spark.createDataFrame(turns, schema)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small rows would share a part
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled"))
+    parts = chat.in_order(frame).where(F.col("conv_id").eqNullSafe(F.lit(conv).cast("long"))).groupBy("part").count().collect()
+    assert len(parts) >= 4 and max(r["count"] for r in parts) < 30_000
+    formatted = store(chat.windows(frame, budget=100, history_tokens=30), "chat")
+    found = {(r.conv_id, r.window): (r.n_repeated, cut(r.formatted)) for r in formatted.collect()}
+    assert found == plain_windows(turns, 100, 30)
+    assert {r.conv_id: tuple(r)[1:5] for r in chat.read_back(formatted).collect()} == read(turns)
+
+
 def test_chat_is_native(spark):
     frame = spark.createDataFrame(ODD, "conv_id long, turn long, role string, text string")
     plan = chat.read_back(chat.windows(frame))._jdf.queryExecution().toString()
