@@ -5,7 +5,7 @@ row_number, conditional sums by FILTER, and the decimal rounding of Spark in exa
 integer arithmetic, because DuckDB divides and averages decimals as doubles."""
 
 from ebbtide.plans.registry import FIRST_DELIVERY, LOAD_TIME, QUERIES
-from ebbtide.schemas import BRONZE, FACTS, GOLD, LANDING, SILVER
+from ebbtide.schemas import BRONZE, FACTS, GOLD, LANDING, PRIMARY_KEYS, SILVER
 from ebbtide.sources.feed import GEO_SQL, RAW_SQL, SOURCE_TABLES
 
 _STAMP = f"TIMESTAMP '{LOAD_TIME}'"
@@ -725,6 +725,21 @@ _Q["run_all"] = _union_all(
     + _counts("silver", [(f"silver_{d}", f"silver_{d}") for d in BRONZE])
     + _counts("gold", [("liquidity_metrics", "combined_metrics"), *[(t, t) for t in GOLD]])
 )
+_FIRST_KEY = FIRST_DELIVERY.replace("-", "")
+
+
+def _loaded_keys(fact: str, key: str) -> str:
+    early = f"date_key < {_FIRST_KEY}"
+    return f"""
+SELECT '{fact}' AS table_name, '{key}' AS key_column,
+  CAST(coalesce(sum(n) FILTER (WHERE k IS NULL), 0) AS BIGINT) AS null_key_rows,
+  CAST(coalesce(sum(n) FILTER (WHERE k IS NOT NULL AND n > 1), 0) AS BIGINT) AS duplicate_key_rows
+FROM (SELECT k, count(*) AS n FROM (
+  SELECT CASE WHEN {early} OR {key} % 11 <> 0 THEN {key} END AS k FROM {fact}
+  UNION ALL SELECT {key} FROM {fact} WHERE {early} AND {key} % 7 = 0) GROUP BY k)"""
+
+
+_Q["new_load_violations"] = " UNION ALL ".join(_loaded_keys(f, PRIMARY_KEYS[f]) for f in FACTS)
 _Q["resume_all"] = (
     f"SELECT * REPLACE (CASE layer WHEN 'gold' THEN status ELSE 'current' END AS status) FROM ({_Q['run_all']})"
 )
