@@ -49,6 +49,7 @@ FAN_IN = 64
 KNOWN_UNITS = 300_000
 _TOGETHER = 200  # units that are encoded as one text
 _CUT = re.compile(r" (?<=[!-~\w] )(?=[!-~\w])")
+_joinable = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL).fullmatch  # a space before or behind it is a cut
 # a space before a word belongs to the word's token, and nothing before it does
 _RELIED_ON = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 
@@ -125,9 +126,12 @@ class Aligner:
 
     def _learn(self, units: list[str]) -> None:
         size = _TOGETHER if self.by_units else 1
-        parts = [units[k : k + size] for k in range(0, len(units), size)]
+        # the ends of a text may be white space or marks, which would go on in a neighbour
+        inner = list(filter(_joinable, units))
+        parts = [inner[k : k + size] for k in range(0, len(inner), size)]
+        parts += [[u] for u in units if not _joinable(u)]
         alone: list[str] = []
-        for size in (size, 1):  # what does not spell its bytes is tried unit by unit
+        while parts:  # what does not spell its bytes is tried unit by unit
             texts = [" ".join(p) for p in parts]
             ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
             ids_b = self.b.encode(texts, num_threads=1)
@@ -135,10 +139,9 @@ class Aligner:
             if good.any():
                 picked = np.flatnonzero(good).tolist()
                 self._align([u for k in picked for u in parts[k]], [ids_a[k] for k in picked], [ids_b[k] for k in picked])
-            parts = [[u] for k in np.flatnonzero(~good).tolist() for u in parts[k]]
-            if size == 1 or not parts:
-                break
-        alone = [u for p in parts for u in p]
+            failed = [parts[k] for k in np.flatnonzero(~good).tolist()]
+            alone += [p[0] for p in failed if len(p) == 1]
+            parts = [[u] for p in failed if len(p) > 1 for u in p]
         if alone:
             self._add(alone, [b""] * len(alone), np.zeros((len(alone), 5), np.int64), np.zeros(0, np.uint64))
 

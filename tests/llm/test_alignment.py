@@ -59,6 +59,73 @@ def test_units_give_what_whole_texts_give(spark, aligner):
             assert collections.Counter((int(p) >> 32, int(p) & 0xFFFFFFFF) for p in pairs[owner == n]) == collections.Counter(links)
 
 
+def edged_texts():
+    """Texts that begin and end with white space or marks; all are spelled, so that units are encoded together."""
+    rng = random.Random(8)
+    return ["".join(rng.choices([" ", "  ", "a", "b", "\n", "\t", ".", "é", "\u0301", "\u00a0", "嫫", "\x85", "'s"], k=rng.randrange(1, 9))) for _ in range(400)]
+
+
+def test_white_space_at_the_ends_of_a_text_stays_in_it(aligner):
+    texts = ["b \n a ", "\n c", "a  ", "  x", *edged_texts()]
+    for k in range(0, len(texts), 40):
+        part = texts[k : k + 40]
+        counts, digests, pairs, owner = aligner.read(part)
+        for n, text in enumerate(part):
+            expected, links = walk(aligner, text)
+            assert (*counts[n].tolist(), digests[n]) == expected
+            assert collections.Counter((int(p) >> 32, int(p) & 0xFFFFFFFF) for p in pairs[owner == n]) == collections.Counter(links)
+
+
+def by_the_contract(docs):
+    """The rows from token entries and pieces, all byte ranges against all."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    from ebbtide.llm.token_output import _byte_letters
+
+    a_of = Tokenizer.from_file(alignment.vocabulary_path(alignment.BYTE_VOCABULARY))
+    a_of.encode_special_tokens = True
+    b_of = sentencepiece.SentencePieceProcessor(model_file=alignment.vocabulary_path(alignment.PIECE_VOCABULARY))
+    letter = {c: b for b, c in enumerate(_byte_letters())}
+
+    def spans(spelled):
+        ends = np.cumsum([len(x) for x in spelled]).tolist()
+        return list(zip([0, *ends], ends))
+
+    every, count, rows = [], collections.Counter(), []
+    for i, text in docs:
+        a = a_of.encode(" " + (text or ""), add_special_tokens=False).ids if text else []
+        b = b_of.encode(text) if text else []
+        spell_a = [bytes(letter[c] for c in a_of.id_to_token(x)) for x in a]
+        spell_b = [bytes([int(b_of.id_to_piece(x)[3:5], 16)]) if b_of.is_byte(x) else b_of.id_to_piece(x).replace("▁", " ").encode() for x in b]
+        if not text or not b"".join(spell_a) == b"".join(spell_b) == (" " + text).encode():
+            a, b, spell_a, spell_b = [], [], [], []
+        span_a, span_b = spans(spell_a), spans(spell_b)
+        links = [(y, x) for x, (s, e) in zip(a, span_a) for y, (t, f) in zip(b, span_b) if s < f and t < e]
+        cuts = sorted({e for _, e in span_a} & {f for _, f in span_b})
+        groups = [
+            ",".join(str(x) for x, (_, e) in zip(a, span_a) if low < e <= high) + "|"
+            + ",".join(str(y) for y, (_, f) in zip(b, span_b) if low < f <= high)
+            for low, high in zip([0, *cuts], cuts)
+        ]
+        count.update(links)
+        every.append((i, len(a), len(b), links, groups))
+    best = {}
+    for (y, _), n in count.items():
+        best[y] = max(best.get(y, 0), n)
+    for i, n_a, n_b, links, groups in every:
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if n_a else ""
+        rows.append((i, n_a, n_b, len(groups), len(links), sum(count[x] == best[x[0]] for x in links), sum(count[x] for x in links), digest))
+    return rows
+
+
+def test_edges_of_texts_in_the_whole_operator(spark):
+    docs = list(enumerate([*edged_texts(), *ODD]))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    found = alignment.aligned(frame, chunk_bytes=2000).collect()
+    assert sorted(map(tuple, found)) == by_the_contract(docs)
+
+
 def test_other_vocabularies_get_whole_texts(aligner):
     aligner.by_units, before = False, aligner.by_units
     try:
