@@ -22,13 +22,15 @@ Re-Pair in rounds: count the adjacent pairs of the block, turn the most frequent
 nonterminals, replace them from left to right, repeat until no pair stands `LEAST_COUNT` times.  A round makes many
 rules at once and no pair spans two documents.
 
-Encoding splits a text at ASCII white space and asks the tokenizer once for each different word, as no token of this vocabulary
-spans white space; a cache of bounded size keeps the answers for frequent words.  Results are those of encoding whole
+Encoding splits a text at ASCII white space, and before marks that end a word, and asks the tokenizer once for each different word, as
+no token of this vocabulary spans white space or the end of a run of letters; a cache of bounded size keeps the answers for
+frequent words, which a batch finds by hash all at once.  Results are those of encoding whole
 texts (tested).  A vocabulary with another normaliser or pre-tokeniser gets whole texts.
 """
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -48,9 +50,14 @@ BLOCK_TOKENS, BATCH_BYTES = 1 << 20, 1 << 21
 RULES_A_ROUND, LEAST_COUNT, SHORT = 4096, 8, 64
 CACHED_WORDS = 600_000
 _BINS = 18
-# a stop or comma between these bytes is a token of its own
-_BEFORE, _AFTER = (np.isin(np.arange(256), [*of]) for of in (b"abcdefghijklmnopqrstuvwxyz0123456789", b" \n"))
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+# a run of these marks between a letter or digit and white space is a word of its own; special tokens have the others
+_MARKS = np.isin(np.arange(256), [*b"!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"])
+_BEFORE = np.isin(np.arange(256), [*b"abcdefghijklmnopqrstuvwxyz0123456789"])
+# the second byte, after 0xC3, of the letters of Latin-1
+_LATIN = np.isin(np.arange(256), [b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)])
+_plain = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _USUAL_BYTES = 1 << 22
@@ -87,13 +94,16 @@ def _byte_letters() -> str:
 
 
 def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All bytes of the texts, and start, end and text of each word therein.  Words stand between ASCII white space; a
-    final stop or comma is one of its own."""
-    joined = np.frombuffer(b"\n".join([b"", *texts, b"", b""]), np.uint8)
-    space = _SPACE[joined]
+    """All bytes of the texts, and start, end and text of each word therein.  Words stand between ASCII white space; marks
+    that end one are a word of their own."""
+    joined = np.frombuffer(b"\n".join([b"", *texts, *[b""] * 9]), np.uint8)
+    space, marks = _SPACE[joined], _MARKS[joined]
     final = np.zeros(len(joined), bool)
-    at = np.flatnonzero((joined == 44) | (joined == 46))
-    final[at[_BEFORE[joined[at - 1]] & _AFTER[joined[at + 1]]]] = True
+    edges = np.flatnonzero(marks[1:] != marks[:-1]) + 1  # no text is at either end
+    at, behind = edges[::2], edges[1::2]
+    before = joined[at - 1]
+    letter = _BEFORE[before] | (_LATIN[before] & (joined[at - 2] == 0xC3))
+    final[at[letter & space[behind]]] = True
     starts = np.flatnonzero(~space[1:] & (space[:-1] | final[1:])) + 1
     ends = np.flatnonzero(~space[:-1] & (space[1:] | final[1:])) + 1
     bounds = np.cumsum([len(t) + 1 for t in texts]) + 1
@@ -125,22 +135,93 @@ def span_hashes(joined: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mixed((sums[ends] - sums[starts]) * inverse[starts])
 
 
-def _distinct(joined: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _eights(of: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number."""
+    return np.ndarray(len(of) - 7, "<u8", of, strides=(1,))
+
+
+def _differ(a: np.ndarray, starts_a: np.ndarray, b: np.ndarray, starts_b: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether a[start : start + length] and b[start : start + length] differ.  Both have eight bytes more than their spans."""
+    eights_a, eights_b = _eights(a), _eights(b)
+    out = (eights_a[starts_a] ^ eights_b[starts_b]) & _MASKS[np.minimum(lengths, 8)] != 0
+    done, rows = 8, np.flatnonzero(lengths > 8)
+    while len(rows) and done < 64:
+        left = np.minimum(lengths[rows] - done, 8)
+        out[rows] |= (eights_a[starts_a[rows] + done] ^ eights_b[starts_b[rows] + done]) & _MASKS[left] != 0
+        done += 8
+        rows = rows[lengths[rows] > done]
+    n = lengths[rows] - done  # of long spans all the rest at once
+    differs = gather(a, starts_a[rows] + done, n) != gather(b, starts_b[rows] + done, n)
+    out[rows[np.repeat(np.arange(len(rows)), n)[differs]]] = True
+    return out
+
+
+def _distinct(joined: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A place of each different word, and the number of its word for every place.  Words are told apart by a 64-bit hash
     and then compared byte by byte with the word they are taken for; the few that differ count as words of their own."""
-    hashes = span_hashes(joined, starts, ends)
     _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
     lengths = ends - starts
     alike = lengths == lengths[first[word]]
     other = np.flatnonzero(alike & (first[word] != np.arange(len(word))))
-    n = lengths[other]
-    differs = gather(joined, starts[other], n) != gather(joined, starts[first[word[other]]], n)
-    alike[other[np.repeat(np.arange(len(other)), n)[differs]]] = False
+    alike[other[_differ(joined, starts[other], joined, starts[first[word[other]]], lengths[other])]] = False
     apart = np.flatnonzero(~alike)
     word[apart] = len(first) + np.arange(len(apart))
     return np.concatenate([first, apart]), word
 
 
+class WordCodes:
+    """The codes of known words, found by a 64-bit hash for all words of a batch at once.  A word is found only if all its
+    bytes are those of the known one; of several words of one hash the first is held."""
+
+    def __init__(self):
+        self.slots = np.full(1 << 16, -1, np.int32)
+        self.hashes, self.codes = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.bytes = np.zeros(8, np.uint8)  # of all words, one after the other, and eight more
+
+    def _entries(self, hashes: np.ndarray) -> np.ndarray:
+        """The entry of each hash, or -1."""
+        last = len(self.slots) - 1
+        slot = (hashes & np.uint64(last)).astype(np.intp)
+        entry = self.slots[slot]
+        left = np.arange(len(hashes))
+        while len(left):  # where another hash holds the slot, the next one
+            left = left[entry[left] >= 0]
+            left = left[self.hashes[entry[left]] != hashes[left]]
+            slot[left] = (slot[left] + 1) & last
+            entry[left] = self.slots[slot[left]]
+        return entry
+
+    def find(self, joined: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The code of each word, or -1."""
+        entry, lengths = self._entries(hashes), ends - starts
+        held = np.flatnonzero(entry >= 0)
+        held = held[self.lengths[entry[held]] == lengths[held]]
+        held = held[~_differ(joined, starts[held], self.bytes, self.starts[entry[held]], lengths[held])]
+        out = np.full(len(hashes), -1, np.int64)
+        out[held] = self.codes[entry[held]]
+        return out
+
+    def add(self, joined: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, codes: np.ndarray) -> None:
+        _, fresh = np.unique(hashes, return_index=True)
+        fresh = fresh[self._entries(hashes[fresh]) < 0]
+        lengths, before = (ends - starts)[fresh], len(self.hashes)
+        self.hashes = np.concatenate([self.hashes, hashes[fresh]])
+        self.codes = np.concatenate([self.codes, codes[fresh].astype(np.int32)])
+        self.starts = np.concatenate([self.starts, len(self.bytes) - 8 + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
+        self.bytes = np.concatenate([self.bytes[:-8], gather(joined, starts[fresh], lengths), np.zeros(8, np.uint8)])
+        if 2 * len(self.hashes) > len(self.slots):
+            self.slots, before = np.full(1 << (4 * len(self.hashes)).bit_length(), -1, np.int32), 0
+        entry, last = np.arange(before, len(self.hashes), dtype=np.int32), len(self.slots) - 1
+        slot = (self.hashes[entry] & np.uint64(last)).astype(np.intp)
+        while len(entry):  # one entry gets a free slot, the others go on
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = entry[free]
+            out = self.slots[slot] != entry
+            entry, slot = entry[out], (slot[out] + 1) & last
+
+
 class WordEncoder:
     """Encodes texts word by word with one tokenizer, remembering words.
 
@@ -160,12 +241,13 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.letters = _byte_letters()
+        self.letters = {b: letter for b, letter in enumerate(_byte_letters()) if b != 32}  # words stay apart
         self.end_id, self.cached = end_id, cached
         self.codes: dict[bytes, int] = {_END: 0}
         self.ids = np.array([end_id], np.uint32)  # of all words, one after the other
         self.lengths = np.ones(1, np.int64)
         self.uses = np.ones(1, np.int64)
+        self.found = WordCodes()
 
     def _forget(self) -> None:
         """Keep the words that were met most often, at most half of `cached`."""
@@ -179,6 +261,7 @@ class WordEncoder:
         self.ids = gather(self.ids, starts, self.lengths)
         self.codes = {words[k]: i for i, k in enumerate(keep.tolist())}
         self.uses = np.zeros(len(keep), np.int64)
+        self.found = WordCodes()  # fills again as words are met
 
     def _add(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
         self.codes.update(zip(words, range(len(self.lengths), len(self.lengths) + len(words))))
@@ -187,24 +270,19 @@ class WordEncoder:
         self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
 
     def _learn(self, words: set[bytes]) -> None:
+        """Remember words that are not known yet."""
+        # ASCII letters, and letters of Latin-1, are normalised by lower-casing alone and make one pre-token
+        plain = [w for w in words if w.isalpha() or _plain(w)]
+        rest = words.difference(plain)
         tails = {}  # a letter before a final stop or comma ends a token
-        for word in words:
+        for word in rest:
             if word[-1:] in (b".", b",") and (before := word[:-1]) and before.decode()[-1].lower()[-1].isalpha():
                 tails[word] = before
-        whole = {*tails.values()} | {w[-1:] for w in tails} | (words - tails.keys())
-        letters, plain, spelled, other = self.letters, [], [], []
-        for word in (w for w in whole if w not in self.codes):
-            # ASCII letters, and letters of Latin-1, are normalised by lower-casing alone and make one pre-token
-            if word.isalpha():
-                plain.append(word)
-                spelled.append(word.lower().decode())
-            elif (text := word.decode()).isalpha() and max(text) <= "ÿ":
-                plain.append(word)
-                spelled.append("".join([letters[b] for b in text.lower().encode()]))
-            else:
-                other.append(word)
+        whole = {*tails.values()} | {w[-1:] for w in tails} | (rest - tails.keys())
+        other = [w for w in whole.difference(plain) if w not in self.codes]
         found = self.plain.encode_batch_fast(
-            [" ".join(spelled[k : k + 500]) for k in range(0, len(spelled), 500)], add_special_tokens=False
+            [b" ".join(plain[k : k + 500]).decode().lower().encode().decode("latin-1").translate(self.letters)
+             for k in range(0, len(plain), 500)], add_special_tokens=False,
         )
         ids = np.array([i for f in found for i in f.ids], np.int64)
         ends = np.flatnonzero(self.ends_word[ids]) + 1
@@ -233,16 +311,17 @@ class WordEncoder:
             self._forget()
         # the strings of special tokens stand for themselves in lower case only
         joined, starts, ends, text = _words([t if b"<|" in t else t.lower() for t in texts])
-        first, word = _distinct(joined, starts, ends)
-        content = joined.tobytes()
-        words = [content[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        known = list(map(self.codes.get, words))
-        new = [i for i, code in enumerate(known) if code is None]
-        if new:
-            self._learn({words[i] for i in new})
-            for i in new:
-                known[i] = self.codes[words[i]]
-        codes = np.array(known, np.int64)[word]
+        hashes = span_hashes(joined, starts, ends)
+        codes = self.found.find(joined, starts, ends, hashes)
+        new = np.flatnonzero(codes < 0)
+        if len(new):
+            first, word = _distinct(joined, starts[new], ends[new], hashes[new])
+            first, content = new[first], joined.tobytes()
+            words = [content[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+            self._learn({w for w in words if w not in self.codes})
+            learned = np.array([self.codes[w] for w in words], np.int64)
+            codes[new] = learned[word]
+            self.found.add(joined, starts[first], ends[first], hashes[first], learned)
         self.uses += np.bincount(codes, minlength=len(self.uses))
         # every text's words, then the end
         words_of = np.bincount(text, minlength=len(texts))

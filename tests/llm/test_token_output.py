@@ -56,6 +56,49 @@ def test_words_of_one_hash_are_told_apart(monkeypatch):
     assert encoder.encode([text.encode()])[0].tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
 
+def marked_texts():
+    rng = random.Random(6)
+    pieces = ["a", "Word", "é", "ñ", "×", "÷", "İ", "ſ", "日", "\u0301", "7", "½", "'", "'s", ".", ",", "$$$", "***", "(", ")", "_", "<", "|", ">", "\\", "`",
+              "<|endoftext|>", "<|startoftext|>", " ", " ", " ", "\n", "\t", "\x0b", "\x1c", "\x85", "\u00a0", "\x00", "x" * 70, "y" * 64 + "z", "ab" * 6]
+    return ["".join(rng.choices(pieces, k=rng.randrange(30))) for _ in range(3000)]
+
+
+def expect_whole_texts(encoder, texts, size=50):
+    for k in range(0, len(texts), size):
+        part = texts[k : k + size]
+        ids, counts = encoder.encode([t.encode() for t in part])
+        whole = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in part]
+        assert ids.tolist() == [i for w in whole for i in w] and counts.tolist() == [len(w) for w in whole]
+
+
+def test_marks_behind_words_change_nothing():
+    expect_whole_texts(WordEncoder(vocabulary_path(), cached=600), marked_texts())
+
+
+def test_few_hashes_for_many_words(monkeypatch):
+    """Hashes of words that share slots, and words that share hashes."""
+    monkeypatch.setattr(token_output, "mixed", lambda x: x % np.uint64(1500) * np.uint64(1 << 15))
+    encoder = WordEncoder(vocabulary_path())
+    expect_whole_texts(encoder, marked_texts())
+    assert len(encoder.found.hashes) <= 1500 < len(encoder.codes)
+
+
+def test_marks_behind_a_word_make_no_other_word():
+    encoder = WordEncoder(vocabulary_path())
+    encoder.encode(["overall naïveté".encode()])
+    known = len(encoder.codes)
+    encoder.encode([f"overall{m} naïveté{m}\tNAïVETé{m}\n".encode() for m in ("$$$", "***", ",", "?!", "...")])
+    assert len(encoder.codes) == known + 5
+
+
+def test_known_words_are_found_at_once(monkeypatch):
+    """Only words that are new are told apart and looked up one by one."""
+    encoder, texts, looked_up = WordEncoder(vocabulary_path()), [t.encode() for t in marked_texts()], []
+    first = encoder.encode(texts)
+    monkeypatch.setattr(token_output, "_distinct", lambda *columns: looked_up.append(columns))
+    assert all(np.array_equal(a, b) for a, b in zip(first, encoder.encode(texts))) and not looked_up
+
+
 def test_another_vocabulary_gets_whole_texts():
     encoder = WordEncoder(vocabulary_path("byte_bpe_50k.json"))
     texts = ["Two  spaces,\n a line. ", "", None, "Ünï code"]
