@@ -9,13 +9,12 @@ from collections.abc import Iterator
 from functools import cache
 from importlib.resources import files
 from importlib.resources.abc import Traversable
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.plans.lake import DATASETS, SCHEMAS, Lake
-from ebbtide.sources.storage import read_mark
+from ebbtide.sources.storage import input_files, read_mark
 
 _DIMS = ["dim_date", "dim_country", "dim_subsidiary"]
 _SILVER = [f"silver_{d}" for d in DATASETS]
@@ -50,19 +49,13 @@ def code_version() -> str:
     return _digest(*[hashlib.sha256(entry.read_bytes()).hexdigest() for entry in _sources(files("ebbtide"))])
 
 
-def _plain(uri: str) -> str:
-    """The path of an input file as a reader takes it: unescaped, without patterns."""
-    return "".join("\\" + c if c in "*?[]{}\\" else c for c in unquote(uri))
-
-
 def feed_mark(feed: DataFrame) -> str:
     """Digest of the files behind `feed` and of its columns.  Spark lists the files; their number and two sums over their hashes,
     which do not depend on the order, come to the driver."""
     columns = feed.schema.simpleString()
-    paths = [_plain(p) for p in feed.inputFiles()]
-    if not paths:
+    found = input_files(feed)
+    if found is None:
         return _digest(columns)
-    found = feed.sparkSession.read.format("binaryFile").load(paths)
     parts = ("path", "length", "modificationTime")
     sums = [F.sum(F.xxhash64(F.lit(seed), *parts).cast("decimal(20,0)")) for seed in (1, 2)]
     return _digest(columns, *map(str, found.agg(F.count("path"), *sums).first()))

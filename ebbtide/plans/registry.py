@@ -76,7 +76,7 @@ def _exported(lake: Lake, dataset: str) -> str:
 
 
 def _rows_per_folder(scan: DataFrame) -> DataFrame:
-    day = F.regexp_extract("source_file", r"/snapshot=(\d{4}-\d{2}-\d{2})/[^/]+\.csv$", 1)
+    day = F.regexp_extract("source_file", r"/snapshot=(\d{4}-\d{2}-\d{2})/[^/]+\.csv(?:\.gz)?$", 1)
     return scan.groupBy(day.alias("folder_date"), "business_date").agg(
         F.count("*").alias("record_count")
     )

@@ -1,11 +1,13 @@
 """Stored tables, and the shared folder for intermediate results."""
 
+import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +16,24 @@ from ebbtide.operators.conform import conform
 # The folder of the table that is being built in this thread.
 _work: ContextVar[str | None] = ContextVar("work", default=None)
 
+# Small files: delta pages of sorted values, and a codec that finds more than the default one.
+_PARQUET = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
+_NO_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+
+# Rows that one write shuffles at once, for each core: what moves lies on the executors' disks until the write ends.
+ROWS_A_CORE = 2_000_000
+# Input beyond which tables are written one after the other, for each core.
+BYTES_A_CORE = 64 << 20
+
+# While tables are written: what a query shuffles goes from the executors' disks with its end, instead of when the driver happens to
+# collect its garbage; methods that the JVM would not compile, being too long, are not generated in one piece.
+_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+_lock = threading.Lock()
+_writes: dict[str, list] = {}  # per application, how many run and the settings before
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by `spark.checkpoint.dir`."""
@@ -82,21 +102,111 @@ def read_mark(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+@contextmanager
+def write_settings(spark: SparkSession) -> Iterator[None]:
+    """`_SETTINGS` for the writes of this block, which may overlap those of other threads."""
+    with _lock:
+        running = _writes.setdefault(spark.sparkContext.applicationId, [0, {}])
+        if not running[0]:
+            running[1] = {key: spark.conf.get(key, None) for key in _SETTINGS}
+            for key, value in _SETTINGS.items():
+                spark.conf.set(key, value)
+        running[0] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            running[0] -= 1
+            for key, value in running[1].items() if not running[0] else ():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    files, folder = _files(spark, path)
+    return files.getContentSummary(folder).getLength()
+
+
+def _plain(uri: str) -> str:
+    """The path of an input file as a reader takes it: unescaped, without patterns."""
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in unquote(uri))
+
+
+def input_files(df: DataFrame) -> DataFrame | None:
+    """The files behind `df` as Spark lists them (path, length, modificationTime); None without any."""
+    paths = [_plain(p) for p in df.inputFiles()]
+    return df.sparkSession.read.format("binaryFile").load(paths) if paths else None
+
+
+def input_bytes(df: DataFrame) -> int:
+    found = input_files(df)
+    return 0 if found is None else found.agg(F.sum("length")).first()[0] or 0
+
+
+def is_large(spark: SparkSession, size: int) -> bool:
+    """Whether tables made of `size` bytes fill the cores one by one; what several shuffle at once would only take disk."""
+    return size > BYTES_A_CORE * spark.sparkContext.defaultParallelism
+
+
+def day_groups(rows: DataFrame, day: str = "business_date", most: int | None = None) -> list[Column]:
+    """Conditions that deal all of `rows` out by ranges of days, of about `most` rows each; a day is never split, and no day (NULL)
+    comes first.  The days go through the driver: a calendar."""
+    spark = rows.sparkSession
+    most = most or ROWS_A_CORE * spark.sparkContext.defaultParallelism
+    with write_settings(spark):
+        counts = rows.groupBy(day).agg(F.count("*").alias("_rows")).orderBy(F.col(day).asc_nulls_first()).collect()
+    groups, held = [], 0
+    for value, number in counts:
+        if not groups or held + number > most:
+            groups.append([])
+            held = 0
+        groups[-1].append(value)
+        held += number
+    conditions = []
+    for days in groups:
+        known = [d for d in days if d is not None]
+        within = F.col(day).between(known[0], known[-1]) if known else F.lit(False)
+        conditions.append(within | F.col(day).isNull() if None in days else within)
+    return conditions
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts lineage, and the
     rows survive the loss of executors."""
     return write_table(df, fresh_folder(df.sparkSession, label))
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace the parquet table at `path` with `df` and return it as stored.
+def write_parts(writers: Sequence[DataFrameWriter], path: str, format: str = "parquet") -> None:
+    """Replace what lies at `path` by the rows of all `writers`, one write after the other, each of which leaves no shuffled
+    rows behind.  The marker of a whole table comes with the last one."""
+    for number, writer in enumerate(writers):
+        last = number == len(writers) - 1
+        writer = writer.options(**({} if last else _NO_MARKER)).mode("append" if number else "overwrite")
+        writer.format(format).save(path)
 
-    Partitioned tables are rebalanced first: small partitions share a file
-    and hot ones are split over several tasks."""
+
+def _writer(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str] = ()) -> DataFrameWriter:
+    order = [*partition_by, *[c for c in order_by if c not in partition_by]]
     if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return read_table(df.sparkSession, path, df.schema)
+        cut = [F.col(c) for c in order]
+        df = df.repartitionByRange(*cut) if order_by else df.hint("rebalance", *cut)
+    if order_by:
+        df = df.sortWithinPartitions(*order)
+    return df.write.options(**_PARQUET).partitionBy(*partition_by)
+
+
+def write_table(df: DataFrame | Sequence[DataFrame], path: str, partition_by: Sequence[str] = (),
+                order_by: Sequence[str] = ()) -> DataFrame:
+    """Replace the parquet table at `path` with `df` and return it as stored.
+
+    Partitioned tables are rebalanced first: small partitions share a task
+    and hot ones are split over several, by ranges of `order_by` if given.  Files are sorted by it, which makes them
+    small and lets scans of some values skip pages.  A table too large to shuffle at once comes in several frames,
+    of other partitions each."""
+    parts = [df] if isinstance(df, DataFrame) else list(df)
+    spark, schema = parts[0].sparkSession, parts[0].schema
+    with write_settings(spark):
+        write_parts([_writer(part, partition_by, order_by) for part in parts], path)
+    return read_table(spark, path, schema)
 
 
 def overwrite_days(df: DataFrame, path: str, days: DataFrame, day: str = "business_date") -> DataFrame:
@@ -118,10 +228,8 @@ def overwrite_days(df: DataFrame, path: str, days: DataFrame, day: str = "busine
     files, mark = _files(spark, f"{path}/{_MARK}")
     files.delete(mark, False)
     filled = {row[0] for row in new.select(day).distinct().collect()}
-    (
-        new.hint("rebalance", F.col(day)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day).parquet(path)
-    )
+    with write_settings(spark):
+        _writer(new, [day]).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     for value in touched - filled:
         files, folder = _files(spark, f"{path}/{day}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
         files.delete(folder, True)
