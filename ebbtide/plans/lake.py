@@ -2,8 +2,11 @@
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import suppress
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.operators.bronze import to_bronze
@@ -13,9 +16,11 @@ from ebbtide.operators.facts import (
     Dims, combined_metrics, fact_collateral_risk, fact_funding_stability, fact_hqla_position,
     liquidity_fact,
 )
-from ebbtide.operators.silver import silver_balances, silver_collateral, silver_hqla
+from ebbtide.operators.silver import KEYS, silver_balances, silver_collateral, silver_hqla
 from ebbtide.schemas import BRONZE, FACTS, GOLD, METRICS, SILVER
-from ebbtide.sources.storage import is_complete, read_table, work_folder, write_table
+from ebbtide.sources.storage import (
+    day_groups, input_bytes, is_complete, is_large, read_table, stored_bytes, work_folder, write_table,
+)
 
 DATASETS = list(BRONZE)
 REJECTS = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("line", T.StringType())])
@@ -27,6 +32,8 @@ SCHEMAS = {
 }
 # Silver and the facts are stored by day, so that a date filter reads its days only.
 STORED_BY = {**{f"silver_{d}": ["business_date"] for d in DATASETS}, **{f: ["date_key"] for f in FACTS}}
+# Days and keys side by side make the large files small, and a scan of some days skips the pages of the others.
+STORED_ORDER = {f"{layer}_{d}": ["business_date", KEYS[d]] for layer in ("bronze", "silver") for d in DATASETS}
 
 
 def at_once(action: Callable, names: list[str]) -> list:
@@ -65,7 +72,7 @@ class Lake:
     def build(self, name: str) -> DataFrame:
         """(Re)build and store one table; its intermediate results go when it is written."""
         with work_folder(self.spark):
-            write_table(BUILDERS[name](self), self.path(name), STORED_BY.get(name, ()))
+            write_table(BUILDERS[name](self), self.path(name), STORED_BY.get(name, ()), STORED_ORDER.get(name, ()))
         self._stored.add(name)
         return self.table(name)
 
@@ -80,9 +87,25 @@ class Lake:
         return read_table(self.spark, self.path(name), SCHEMAS[name])
 
     def tables(self, names: Iterable[str]) -> dict[str, DataFrame]:
-        at_once(self.build, [n for n in names if not self.has(n)])
+        self.each(self.build, [n for n in names if not self.has(n)])
         return {n: self.table(n) for n in names}
 
+    def each(self, action: Callable, names: list[str]) -> list:
+        """`action` for tables that do not need each other: at the same time, or one after the other if the rows that they
+        move are many, which then do not lie on the disks together."""
+        return [action(name) for name in names] if self._are_large(names) else at_once(action, names)
+
+    def _are_large(self, names: Iterable[str]) -> bool:
+        size = 0
+        for name in names:
+            layer, _, dataset = name.partition("_")
+            if layer == "bronze" and dataset in self.feeds:
+                with suppress(PySparkException):  # a feed that cannot be read is reported by its own build
+                    size += input_bytes(self.feeds[dataset])
+            elif layer == "silver" and self.has(f"bronze_{dataset}"):
+                size += stored_bytes(self.spark, self.path(f"bronze_{dataset}"))
+        return is_large(self.spark, size)
+
     def bronze(self) -> dict[str, DataFrame]:
         return self._layer("bronze")
 
@@ -111,14 +134,27 @@ def _bronze(dataset: str) -> Callable[[Lake], DataFrame]:
     return build
 
 
+def _silver(dataset: str, clean: Callable[..., DataFrame]) -> Callable[[Lake], list[DataFrame]]:
+    """Silver in groups of days, each with all rows of its keys: what is shuffled at once does not grow with the table."""
+    def build(lake: Lake) -> list[DataFrame]:
+        bronze, load_time = lake.table(f"bronze_{dataset}"), lake.load_time
+        if load_time is None:  # one for all groups
+            load_time = F.lit(lake.spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0])
+            load_time = F.timestamp_micros(load_time)
+        groups = day_groups(bronze.where("business_date IS NOT NULL"))
+        return [clean(bronze.where(days), load_time) for days in groups] if len(groups) > 1 else [clean(bronze, load_time)]
+
+    return build
+
+
 # The metrics hold every date, country and subsidiary of silver, once each: the
 # dimensions read this short table instead of scanning silver three more times.
-BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
+BUILDERS: dict[str, Callable[[Lake], DataFrame | list[DataFrame]]] = {
     **{f"rejects_{d}": lambda k, d=d: k.rejects[d] for d in DATASETS},
     **{f"bronze_{d}": _bronze(d) for d in DATASETS},
-    "silver_balances": lambda k: silver_balances(k.table("bronze_balances"), k.load_time),
-    "silver_hqla": lambda k: silver_hqla(k.table("bronze_hqla"), k.load_time),
-    "silver_collateral": lambda k: silver_collateral(k.table("bronze_collateral"), k.load_time),
+    "silver_balances": _silver("balances", silver_balances),
+    "silver_hqla": _silver("hqla", silver_hqla),
+    "silver_collateral": _silver("collateral", silver_collateral),
     "liquidity_metrics": lambda k: conform(
         combined_metrics(**k.silver(), accounts_unique=True), METRICS),
     "dim_date": lambda k: dim_date([k.table("liquidity_metrics")]),

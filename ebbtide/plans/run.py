@@ -5,7 +5,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from ebbtide.plans.fingerprints import table_marks
-from ebbtide.plans.lake import LAYERS, Lake, at_once
+from ebbtide.plans.lake import LAYERS, Lake
 from ebbtide.sources.storage import read_mark, write_mark
 
 STATUS_SCHEMA = "layer string, table_name string, status string, record_count long, message string"
@@ -29,7 +29,7 @@ def run_layer(lake: Lake, layer: str, marks: Mapping[str, str] | None = None) ->
     report = []
     rejects = [f"rejects_{d}" for d in lake.rejects] if layer == "bronze" else []
     for names in [rejects, *LAYERS[layer]]:
-        report += at_once(lambda name: _attempt(lake, layer, name, (marks or {}).get(name)), names)
+        report += lake.each(lambda name: _attempt(lake, layer, name, (marks or {}).get(name)), names)
         if _failed(report):
             break
     return report

@@ -8,8 +8,13 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from ebbtide.operators.silver import silver_hqla
+from ebbtide.plans import lake as lakes
+from ebbtide.plans.lake import Lake
+from ebbtide.plans.registry import QUERIES, new_lake
 from ebbtide.schemas import LANDING
 from ebbtide.sources import landing, storage
+from conftest import SMALL
 
 
 def shuffled(spark) -> dict[str, int]:
@@ -114,3 +119,47 @@ def test_settings_of_writes_end_with_the_last_one(spark):
     thread.join()
     assert held == storage._SETTINGS
     assert {key: spark.conf.get(key, None) for key in storage._SETTINGS} == before
+
+
+def test_silver_in_groups_of_days_is_silver(spark, lake, monkeypatch):
+    monkeypatch.setattr(storage, "ROWS_A_CORE", 500 / spark.sparkContext.defaultParallelism)
+    parts, write = [], lakes.write_table
+    monkeypatch.setattr(lakes, "write_table", lambda df, *a: (parts.append(df), write(df, *a))[1])
+    own = Lake(spark, storage.fresh_folder(spark, "run"), {"hqla": lake.feeds["hqla"]}, lake.bronze_time)
+    stored = own.table("silver_hqla")
+    assert len(parts[-1]) > 5
+    assert stored.select("silver_load_timestamp").distinct().count() == 1
+    whole = silver_hqla(own.table("bronze_hqla")).drop("silver_load_timestamp")
+    assert stored.count() == whole.count() and stored.drop("silver_load_timestamp").exceptAll(whole).isEmpty()
+
+
+def test_large_tables_are_built_one_by_one(spark, lake, monkeypatch):
+    running, most = [0], [0]
+
+    def action(name):
+        running[0] += 1
+        most[0] = max(most[0], running[0])
+        time.sleep(0.2)
+        running[0] -= 1
+        return name
+
+    for size, number in ((0, 1), (1 << 30, 2)):
+        monkeypatch.setattr(storage, "BYTES_A_CORE", size)
+        most[0] = 0
+        for names in (["bronze_hqla", "bronze_collateral"], ["silver_hqla", "silver_collateral"]):
+            lake.silver()
+            assert lake.each(action, names) == names and most[0] == number
+
+
+# Queries that build a lake of their own: what they shuffle does not stay, and what they store is packed.
+BUILDING = ["silver_flag_distribution"]
+
+
+@pytest.mark.parametrize("name", BUILDING)
+def test_builds_leave_packed_tables_alone(spark, name):
+    own = new_lake(spark, SMALL)
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(files_of(folder))
+    assert left_by(spark, lambda: QUERIES[name](own)) < 200_000
+    stored = [f for f in files_of(folder) if f not in before]
+    assert stored and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in stored if pq.ParquetFile(f).metadata.num_rows} == {"ZSTD"}
