@@ -152,7 +152,10 @@ def test_large_tables_are_built_one_by_one(spark, lake, monkeypatch):
 
 
 # Queries that build a lake of their own: what they shuffle does not stay, and what they store is packed.
-BUILDING = ["silver_flag_distribution"]
+BUILDING = [
+    "silver_flag_distribution",
+    "run_all",
+]
 
 
 @pytest.mark.parametrize("name", BUILDING)
@@ -161,5 +164,5 @@ def test_builds_leave_packed_tables_alone(spark, name):
     folder = spark.conf.get("spark.checkpoint.dir")
     before = set(files_of(folder))
     assert left_by(spark, lambda: QUERIES[name](own)) < 200_000
-    stored = [f for f in files_of(folder) if f not in before]
+    stored = [f for f in files_of(folder) if f not in before and "/generation-" not in f]  # bitmaps are no tables
     assert stored and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in stored if pq.ParquetFile(f).metadata.num_rows} == {"ZSTD"}
