@@ -155,6 +155,7 @@ def test_large_tables_are_built_one_by_one(spark, lake, monkeypatch):
 BUILDING = [
     "silver_flag_distribution",
     "run_all",
+    "resume_all",
 ]
 
 
