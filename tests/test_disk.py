@@ -156,6 +156,7 @@ BUILDING = [
     "silver_flag_distribution",
     "run_all",
     "resume_all",
+    "funding_concentration",
 ]
 
 
