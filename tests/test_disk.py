@@ -157,6 +157,7 @@ BUILDING = [
     "run_all",
     "resume_all",
     "funding_concentration",
+    "collateral_concentration",
 ]
 
 
