@@ -158,6 +158,7 @@ BUILDING = [
     "resume_all",
     "funding_concentration",
     "collateral_concentration",
+    "fk_orphans",
 ]
 
 
