@@ -159,6 +159,7 @@ BUILDING = [
     "funding_concentration",
     "collateral_concentration",
     "fk_orphans",
+    "new_load_violations",
 ]
 
 
