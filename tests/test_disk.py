@@ -160,6 +160,7 @@ BUILDING = [
     "collateral_concentration",
     "fk_orphans",
     "new_load_violations",
+    "merged_fact_funding_stability",
 ]
 
 
