@@ -161,6 +161,7 @@ BUILDING = [
     "fk_orphans",
     "new_load_violations",
     "merged_fact_funding_stability",
+    "merged_fact_collateral_risk",
 ]
 
 
